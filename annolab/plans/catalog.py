@@ -201,3 +201,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
+
+
+# the other query groups register themselves on import
+from annolab.plans import queries_profile  # noqa: E402,F401
