@@ -49,16 +49,19 @@ def majority_vote(votes: DataFrame, item: str = "item", label: str = "label",
 
 
 def vote_texts(records: DataFrame, text: str = "text", label: str = "label",
-               seq: str = "doc_id") -> DataFrame:
+               seq: str = "seq", row_id: str = "doc_id") -> DataFrame:
     """Majority vote keyed by exact text. Returns (text_key, text, label,
-    votes_for, votes_total, n_labels, first_seq); one row per distinct text.
+    votes_for, votes_total, n_labels, first_seq, first_row); one row per
+    distinct text; ``first_row`` is the row id of the text's first record.
 
     Equal keys mean equal texts, so the text rides along as ``any_value`` in
     the partial aggregates and crosses each shuffle at most once per task."""
     keyed = records.select(text_key(text).alias("text_key"), F.col(text).alias("text"),
-                           F.col(label).alias("label"), F.col(seq).alias("seq"))
+                           F.col(label).alias("label"), F.col(seq).alias("seq"),
+                           F.col(row_id).alias("row_id"))
     per = (keyed.groupBy("text_key", "label")
            .agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq"),
+                F.min_by("row_id", "seq").alias("first_row"),
                 F.any_value("text").alias("text")))
     return (per.groupBy("text_key")
             .agg(F.any_value("text").alias("text"),
@@ -66,7 +69,8 @@ def vote_texts(records: DataFrame, text: str = "text", label: str = "label",
                  F.max("n").alias("votes_for"),
                  F.sum("n").alias("votes_total"),
                  F.count(F.lit(1)).alias("n_labels"),
-                 F.min("first_seq").alias("first_seq")))
+                 F.min("first_seq").alias("first_seq"),
+                 F.min_by("first_row", "first_seq").alias("first_row")))
 
 
 def consensus_keys(voted: DataFrame) -> DataFrame:

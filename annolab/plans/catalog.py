@@ -86,9 +86,10 @@ def _with(ctes: str, body: str) -> str:
 
 
 # ---------------------------------------------------------------- Spark fixtures
-def dataset(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, D.DatasetParts]:
+def dataset(spark: SparkSession, sf_dir: str, materialize: bool = True
+            ) -> tuple[DataFrame, D.DatasetParts]:
     records = T.annotated_documents(spark, sf_dir)
-    return records, D.build_dataset(records, DEFAULTS)
+    return records, D.build_dataset(records, DEFAULTS, materialize)
 
 
 # ---------------------------------------------------------------- A01 A02 W08
@@ -120,7 +121,7 @@ def q_vote_distribution(spark, sf_dir):
 # ---------------------------------------------------------------- J01 P05 P06
 @register("consensus_antijoin", _with(SQL_ANNOTATED, "SELECT doc_id, filename, label FROM kept"))
 def q_consensus_antijoin(spark, sf_dir):
-    _, parts = dataset(spark, sf_dir)
+    _, parts = dataset(spark, sf_dir, materialize=False)
     return parts.kept.select("doc_id", "filename", "label")
 
 
@@ -130,7 +131,7 @@ SELECT (SELECT count(*) FROM regular r WHERE EXISTS (SELECT 1 FROM voted v WHERE
          AS skipped_duplicates,
        (SELECT count(*) FROM voted) AS consensus_texts"""))
 def q_duplicate_count(spark, sf_dir):
-    _, parts = dataset(spark, sf_dir)
+    _, parts = dataset(spark, sf_dir, materialize=False)
     dup = parts.duplicates.agg(F.count(F.lit(1)).alias("skipped_duplicates"))
     cons = parts.voted.agg(F.count(F.lit(1)).alias("consensus_texts"))
     return dup.join(cons)  # two one-row aggregates
@@ -139,8 +140,8 @@ def q_duplicate_count(spark, sf_dir):
 # consensus test set: majority vote keyed by exact text
 @register("consensus_vote", _with(SQL_ANNOTATED, "SELECT doc_id, label, length(text) AS text_len FROM voted"))
 def q_consensus_vote(spark, sf_dir):
-    _, parts = dataset(spark, sf_dir)
-    return parts.voted.select(F.col("first_seq").alias("doc_id"), "label",
+    _, parts = dataset(spark, sf_dir, materialize=False)
+    return parts.voted.select(F.col("first_row").alias("doc_id"), "label",
                               F.length("text").alias("text_len"))
 
 
@@ -191,7 +192,7 @@ UNION ALL SELECT 'skipped_duplicates', count(*) FROM regular r
           WHERE EXISTS (SELECT 1 FROM voted v WHERE v.text = r.text)
 UNION ALL SELECT 'regular_kept', count(*) FROM kept"""))
 def q_stage_counts(spark, sf_dir):
-    records, parts = dataset(spark, sf_dir)
+    records, parts = dataset(spark, sf_dir, materialize=False)
     return D.stage_counts(records, parts)
 
 

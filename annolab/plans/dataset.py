@@ -1,9 +1,10 @@
 """Entry A: annotation records -> consensus test set + deduplicated, split
 training data (P05, P06, A01, A02, J01, J02, W01, W02, U02, A06).
 
-Input: records ``(doc_id, filename, kind, text, label)`` where ``kind`` is
-'consensus' or 'regular' and ``label`` may be NULL (unlabelled record);
-``doc_id`` orders the records (first seen = smallest).
+Input: records ``(doc_id, seq, filename, kind, text, label)``: ``doc_id`` is
+the row id, ``seq`` orders the records (first seen = smallest; a number or a
+struct such as (path, pos)), ``kind`` is 'consensus' or 'regular' and
+``label`` may be NULL (unlabelled record).
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from annolab.config import DEFAULTS, Settings
 from annolab.operators import consensus as C
 from annolab.operators import split as S
+from annolab.session import materialize as _materialize
 
 
 @dataclass
@@ -33,19 +35,25 @@ def has_text(col: str = "text"):
     return F.col(col).isNotNull() & (F.col(col) != F.lit(""))
 
 
-def build_dataset(records: DataFrame, settings: Settings = DEFAULTS) -> DatasetParts:
+def build_dataset(records: DataFrame, settings: Settings = DEFAULTS,
+                  materialize: bool = True) -> DatasetParts:
+    """``materialize`` checkpoints the kept regular rows before the split:
+    the split reads its input twice (bucket counts, then assignment), and the
+    anti-join plan above it should run once."""
     with_text = records.filter(has_text())
     consensus = with_text.filter((F.col("kind") == "consensus") & F.col("label").isNotNull())
-    voted = C.vote_texts(consensus, seq="doc_id")
+    voted = C.vote_texts(consensus, seq="seq", row_id="doc_id")
     keys = C.consensus_keys(voted)
     regular = with_text.filter(F.col("kind") == "regular")
     duplicates = C.consensus_duplicates(regular, keys)
     kept = (C.drop_consensus_texts(regular, keys)
             .filter(F.col("label").isNotNull())
             .select("doc_id", "filename", "text", "label"))
+    if materialize:
+        kept = _materialize(kept)
     split = S.stratified_split(kept, "label", "doc_id", settings.val_fraction,
                                settings.seed, settings.split_hash_digits)
-    test = voted.select(F.col("first_seq").alias("doc_id"), F.lit("consensus").alias("filename"),
+    test = voted.select(F.col("first_row").alias("doc_id"), F.lit("consensus").alias("filename"),
                         "text", "label", F.lit("test").alias("split"))
     complete = split.unionByName(test)
     return DatasetParts(with_text, voted, duplicates, kept, split, complete)

@@ -403,3 +403,35 @@ r AS (
 SELECT run_id, epoch, lr_in AS lr FROM r""")
 def q_lr_schedule(spark, sf_dir):
     return H.lr_schedule(H.from_events(T.table(spark, sf_dir, "events")))
+
+
+# ---------------------------------------------------------------- P01-P07 (F1)
+def annotation_records(corpus):
+    """Fixture F1: every labelled document as an annotation record, in one of
+    four shapes (by doc_id mod 4): data.text + choice '<y> - x'; text +
+    array choice [y, '9']; content + choice 'y'; only a fallback string field
+    after a blank one + choice 'y'."""
+    y = F.col("label").cast("string")
+
+    def ann(choice):
+        return F.array(F.struct(F.array(F.struct(F.struct(F.array(choice).alias("choices"))
+                                                 .alias("value"))).alias("result")))
+    shape = F.col("doc_id") % 4
+    r0 = F.to_json(F.struct(F.struct(F.col("text").alias("text")).alias("data"),
+                            ann(F.concat(y, F.lit(" - x"))).alias("annotations")))
+    r1 = F.to_json(F.struct(F.col("text").alias("text"),
+                            ann(F.array(y, F.lit("9"))).alias("annotations")))
+    r2 = F.to_json(F.struct(F.col("doc_id").alias("id"), F.col("text").alias("content"),
+                            ann(y).alias("annotations")))
+    r3 = F.to_json(F.struct(F.col("doc_id").alias("id"), F.lit(" ").alias("meta"),
+                            F.col("text").alias("body"), ann(y).alias("annotations")))
+    rec = F.when(shape == 0, r0).when(shape == 1, r1).when(shape == 2, r2).otherwise(r3)
+    return corpus.select("doc_id", rec.alias("rec"))
+
+
+@register("json_extract", W(SQL_CORPUS) + """
+SELECT doc_id, text, label FROM corpus WHERE text IS NOT NULL AND text <> '' AND label IS NOT NULL""")
+def q_json_extract(spark, sf_dir):
+    from annolab.functions.extract import extract_records, keep_labelled_text
+    recs = extract_records(annotation_records(T.corpus(spark, sf_dir)))
+    return keep_labelled_text(recs).select("doc_id", "text", "label")

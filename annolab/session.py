@@ -51,3 +51,23 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for written intermediate tables)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts])
+
+
+def materialize(df):
+    """Cut lineage: a reliable checkpoint into the shared checkpoint folder
+    (survives executor loss, unlike a local checkpoint). Eager: one job."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Give CPU-heavy per-row work (tokenising, JSON parsing) at least as many
+    tasks as the cluster has cores. Only a narrow scan (fewer splits than
+    ``defaultParallelism``, e.g. one small file with one row group) is
+    repartitioned; a large input already has more splits than cores and is
+    returned untouched, so no extra shuffle is added at scale."""
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from annolab.session import spread
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -26,8 +28,10 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 CONSENSUS_SOURCES = ("src0", "src1", "src2", "src3")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
+    """A given table; a narrow scan is spread over all cores (session.spread)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_rows else df
 
 
 def label_expr(quality: str = "quality", toxic: str = "toxic"):
@@ -35,12 +39,13 @@ def label_expr(quality: str = "quality", toxic: str = "toxic"):
 
 
 def annotated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, filename, kind, text, label) - one annotation record per document."""
+    """(doc_id, seq, filename, kind, text, label) - one annotation record per
+    document; doc_id is both the row id and the record order."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     labels = table(spark, sf_dir, "labels").select(
         "doc_id", label_expr().alias("label"))
     return (docs.join(labels, "doc_id", "left")
-            .select("doc_id",
+            .select("doc_id", F.col("doc_id").alias("seq"),
                     F.col("source").alias("filename"),
                     F.when(F.col("source").isin(*CONSENSUS_SOURCES), F.lit("consensus"))
                     .otherwise(F.lit("regular")).alias("kind"),
