@@ -435,3 +435,98 @@ def q_json_extract(spark, sf_dir):
     from annolab.functions.extract import extract_records, keep_labelled_text
     recs = extract_records(annotation_records(T.corpus(spark, sf_dir)))
     return keep_labelled_text(recs).select("doc_id", "text", "label")
+
+
+# ---------------------------------------------------------------- M01-M03 (fit)
+@register("baseline_fit")
+def q_baseline_fit(spark, sf_dir):
+    """Fit the bag-of-words logistic regression on train+val of the dataset
+    build, score the consensus test split: the report summary (A26)."""
+    from annolab.operators.models import fit_baseline
+    _, parts = dataset(spark, sf_dir)
+    fit = parts.complete.filter(F.col("split").isin("train", "val"))
+    model = fit_baseline(fit, "text", "label", DEFAULTS)
+    test = parts.complete.filter(F.col("split") == "test")
+    scored = model.transform(test).select(F.lit("baseline").alias("model"), "label", "predicted")
+    return M.summary(M.confusion_matrix(scored))
+
+
+# M11 (fit)
+@register("ordinal_fit")
+def q_ordinal_fit(spark, sf_dir):
+    """Fit the weighted CORAL model on the embeddings with vec_id not in the
+    validation 15 % (deterministic split), report its parameters."""
+    from annolab.operators.models import fit_ordinal
+    e = T.ordinal_embeddings(spark, sf_dir).withColumnRenamed("vec_id", "doc_id")
+    sp = S.stratified_split(e, "label", "doc_id", DEFAULTS.val_fraction, DEFAULTS.seed)
+    model = fit_ordinal(sp.filter(F.col("split") == "train"), "embedding", "label", DEFAULTS,
+                        reg_param=1e-3, max_iter=100)
+    rows = ([("w", i, float(v)) for i, v in enumerate(model.w)]
+            + [("b", i, float(v)) for i, v in enumerate(model.b)])
+    return spark.createDataFrame(rows, "param string, idx int, value double")
+
+
+# ---------------------------------------------------------------- M16 J04 U04 A24 P10 P17
+SQL_RULES_DOCS = """
+rd AS (SELECT doc_id, text,
+              CAST(CASE WHEN n_chars < 1000 THEN 1 WHEN n_chars < 2500 THEN 2 WHEN n_chars < 5000 THEN 3
+                        WHEN n_chars < 10000 THEN 4 ELSE 5 END AS INTEGER) AS length_rule_prediction,
+              CAST(length(lower(text)) % 4 + 1 AS INTEGER) AS mod_rule_prediction
+       FROM documents)"""
+
+
+def _rule_comparison(spark, sf_dir):
+    from annolab.operators import compare as CMP
+    docs = T.table(spark, sf_dir, "documents")
+    scored = {
+        "length_rule": docs.select("doc_id", EV.length_rule(docs).alias("predicted"),
+                                   F.lit(None).cast("double").alias("confidence")),
+        "mod_rule": docs.select("doc_id", EV.mod_rule().alias("predicted"),
+                                F.lit(None).cast("double").alias("confidence")),
+    }
+    wide = CMP.wide_predictions(CMP.long_predictions(scored), list(scored))
+    return docs, CMP.agreement(wide)
+
+
+@register("model_agreement", W(SQL_RULES_DOCS) + """
+SELECT doc_id, CASE WHEN length(text) > 100 THEN substring(text, 1, 100) || '...' ELSE text END AS preview,
+       length_rule_prediction, mod_rule_prediction,
+       length_rule_prediction = mod_rule_prediction AS agree,
+       CAST(length_rule_prediction AS VARCHAR) || ', ' || CAST(mod_rule_prediction AS VARCHAR) AS detail
+FROM rd""")
+def q_model_agreement(spark, sf_dir):
+    docs, agreed = _rule_comparison(spark, sf_dir)
+    texts = docs.select("doc_id", P.truncate("text").alias("preview"))
+    return agreed.join(texts, "doc_id").select(
+        "doc_id", "preview", "length_rule_prediction", "mod_rule_prediction", "agree", "detail")
+
+
+@register("agreement_rate", W(SQL_RULES_DOCS) + """
+SELECT count(*) AS n, CAST(sum(CAST(length_rule_prediction = mod_rule_prediction AS INTEGER)) AS BIGINT) AS n_agree,
+       round(avg(CAST(length_rule_prediction = mod_rule_prediction AS DOUBLE)) * 100.0, 1) AS agree_pct
+FROM rd""")
+def q_agreement_rate(spark, sf_dir):
+    from annolab.operators import compare as CMP
+    return CMP.agreement_rate(_rule_comparison(spark, sf_dir)[1])
+
+
+# M04 + M16: every document scored by the rule models and by the ordinal head
+# over hashed embeddings, compared (rows-only check)
+@register("inference_compare")
+def q_inference_compare(spark, sf_dir):
+    from annolab.operators import compare as CMP
+    from annolab.operators.embed import hashing_embed
+    from annolab.operators.models import OrdinalModel
+    docs = T.table(spark, sf_dir, "documents")
+    emb = hashing_embed(docs.select("doc_id", "text", "n_chars"), "text", "embedding", DEFAULTS)
+    head = OrdinalModel(EV.fixed_weights(DEFAULTS.embedding_dim), list(EV.FIXED_BIASES),
+                        DEFAULTS.num_classes)
+    ordinal = head.transform(emb).select("doc_id", "predicted", "confidence")
+    scored = {
+        "length_rule": docs.select("doc_id", EV.length_rule(docs).alias("predicted"),
+                                   F.lit(1.0).alias("confidence")),
+        "ordinal_hashed": ordinal,
+    }
+    wide = CMP.wide_predictions(CMP.long_predictions(scored), list(scored))
+    agreed = CMP.agreement(wide)
+    return agreed.join(docs.select("doc_id", P.truncate("text").alias("preview")), "doc_id")
