@@ -530,3 +530,24 @@ def q_inference_compare(spark, sf_dir):
     wide = CMP.wide_predictions(CMP.long_predictions(scored), list(scored))
     agreed = CMP.agreement(wide)
     return agreed.join(docs.select("doc_id", P.truncate("text").alias("preview")), "doc_id")
+
+
+# Data-parallel MLP fit on the embeddings (85/15 split),
+# training history as the result (rows-only check)
+def _mlp_history(spark, sf_dir, ordinal):
+    from annolab.operators.mlp import fit_mlp
+    e = T.ordinal_embeddings(spark, sf_dir).withColumnRenamed("vec_id", "doc_id")
+    sp = S.stratified_split(e, "label", "doc_id", DEFAULTS.val_fraction, DEFAULTS.seed)
+    model = fit_mlp(sp.filter(F.col("split") == "train"), sp.filter(F.col("split") == "val"),
+                    settings=DEFAULTS, ordinal=ordinal)
+    return model.history_frame(spark, "ordinal" if ordinal else "softmax")
+
+
+@register("mlp_fit")
+def q_mlp_fit(spark, sf_dir):
+    return _mlp_history(spark, sf_dir, True)
+
+
+@register("mlp_softmax_fit")
+def q_mlp_softmax_fit(spark, sf_dir):
+    return _mlp_history(spark, sf_dir, False)
