@@ -133,8 +133,8 @@ SELECT (SELECT count(*) FROM regular r WHERE EXISTS (SELECT 1 FROM voted v WHERE
 def q_duplicate_count(spark, sf_dir):
     _, parts = dataset(spark, sf_dir, materialize=False)
     dup = parts.duplicates.agg(F.count(F.lit(1)).alias("skipped_duplicates"))
-    cons = parts.voted.agg(F.count(F.lit(1)).alias("consensus_texts"))
-    return dup.join(cons)  # two one-row aggregates
+    cons = parts.voted.agg(F.count(F.lit(1))).scalar()   # scalar subquery, no join
+    return dup.select("skipped_duplicates", cons.alias("consensus_texts"))
 
 
 # consensus test set: majority vote keyed by exact text
