@@ -61,9 +61,13 @@ def split_feasibility(df: DataFrame, label: str = "label", fraction: float = 0.1
 
 
 def stratified_split(df: DataFrame, label: str = "label", row_id: str = "doc_id",
-                     fraction: float = 0.15, seed: int = 42, digits: int = 4) -> DataFrame:
+                     fraction: float = 0.15, seed: int = 42, digits: int = 4,
+                     materialize_plan: bool = True) -> DataFrame:
     """Add ``split`` in {'train','val'}; NULL for every row when the split
-    is infeasible (W02 -> S07 fallback: the table is kept whole, unsplit)."""
+    is infeasible (W02 -> S07 fallback: the table is kept whole, unsplit).
+
+    ``materialize_plan`` writes the bounded per-bucket plan once (one small
+    job), so the input is counted once instead of once per union branch."""
     h = row_hash(row_id, seed)
     hashed = df.withColumn("_h", h).withColumn("_bucket", F.substring("_h", 1, digits))
     counts = hashed.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
@@ -80,6 +84,9 @@ def stratified_split(df: DataFrame, label: str = "label", row_id: str = "doc_id"
                         .otherwise(F.lit("boundary")))
             .withColumn("_need", F.col("quota") - F.col("_before"))
             .select(label, "_bucket", "_status", "_need"))
+    if materialize_plan:
+        from annolab.session import materialize
+        plan = materialize(plan, "split-plan")
     # bounded by 16^digits * K rows, independent of the data volume
     joined = hashed.join(F.broadcast(plan), [label, "_bucket"])
     decided = (joined.filter(F.col("_status") != "boundary")

@@ -37,9 +37,9 @@ def has_text(col: str = "text"):
 
 def build_dataset(records: DataFrame, settings: Settings = DEFAULTS,
                   materialize: bool = True) -> DatasetParts:
-    """``materialize`` checkpoints the kept regular rows before the split:
-    the split reads its input twice (bucket counts, then assignment), and the
-    anti-join plan above it should run once."""
+    """``materialize`` writes the kept regular rows to the shared checkpoint
+    folder before the split: the split reads its input twice (bucket counts
+    on two columns, then assignment), and the anti-join above it runs once."""
     with_text = records.filter(has_text())
     consensus = with_text.filter((F.col("kind") == "consensus") & F.col("label").isNotNull())
     voted = C.vote_texts(consensus, seq="seq", row_id="doc_id")
@@ -50,7 +50,7 @@ def build_dataset(records: DataFrame, settings: Settings = DEFAULTS,
             .filter(F.col("label").isNotNull())
             .select("doc_id", "filename", "text", "label"))
     if materialize:
-        kept = _materialize(kept)
+        kept = _materialize(kept, "kept")
     split = S.stratified_split(kept, "label", "doc_id", settings.val_fraction,
                                settings.seed, settings.split_hash_digits)
     test = voted.select(F.col("first_row").alias("doc_id"), F.lit("consensus").alias("filename"),

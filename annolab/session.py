@@ -53,11 +53,15 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, *parts])
 
 
-def materialize(df):
-    """Cut lineage: a reliable checkpoint into the shared checkpoint folder
-    (survives executor loss, unlike a local checkpoint). Eager: one job."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, name: str = "table"):
+    """Cut lineage: write df as a Parquet table under the shared checkpoint
+    folder and read it back (survives executor loss; unlike an RDD
+    checkpoint the result keeps column pruning and filter pushdown).
+    Eager: one job."""
+    import uuid
+    path = shared_path(df.sparkSession, "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def spread(df, min_partitions: int | None = None):
