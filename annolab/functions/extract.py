@@ -11,9 +11,10 @@ Semantics kept from the reference:
 * label: ``annotations[0].result[0].value.choices[0]``, then its first
   character (string choice) or first element (array choice); empty -> none.
 
-Key order matters, so keys come from ``json_object_keys`` (document order),
-never from a VARIANT object (whose keys are sorted). Columns that lambdas read
-(``_rec_map``) are materialised first by ``extract_records``.
+Each record is parsed once into a VARIANT (key presence and values are read
+from it). Key *order* matters only for the fallback, and a VARIANT object
+sorts its keys, so that branch takes the keys from ``json_object_keys``
+(document order). Columns that lambdas read are materialised first.
 """
 
 from __future__ import annotations
@@ -24,36 +25,35 @@ from pyspark.sql import functions as F
 LABEL_PATH = "$.annotations[0].result[0].value.choices[0]"
 
 
-def _has_key(obj_json: Column, key: str) -> Column:
-    return F.coalesce(F.array_contains(F.json_object_keys(obj_json), F.lit(key)), F.lit(False))
-
-
 def _blank(v: Column) -> Column:
     return v.rlike(r"^[\p{IsWhite_Space}]*$")
 
 
-def text_expr(rec: str = "rec", rec_map: str = "_rec_map") -> Column:
-    """P01 + P02. ``rec_map`` = ``try_cast(try_parse_json(rec) AS map<string,variant>)``."""
-    r = F.col(rec)
-    keys = F.json_object_keys(r)
-    m = F.col(rec_map)
-    data_json = F.get_json_object(r, "$.data")
+def text_expr(rec: str = "rec", v: str = "_rec_v", rec_map: str = "_rec_map",
+              data_map: str = "_data_map") -> Column:
+    """P01 + P02 over the parsed record: ``v`` = try_parse_json(rec),
+    ``rec_map`` / ``data_map`` = the record / its ``data`` value as
+    map<string, variant> (NULL when not an object). Only the fallback reads
+    the raw JSON again, for the keys in document order."""
+    m, dm = F.col(rec_map), F.col(data_map)
+    keys = F.json_object_keys(F.col(rec))
     fallback_key = F.try_element_at(F.filter(keys, lambda k: (
         (F.schema_of_variant(F.element_at(m, k)) == F.lit("STRING"))
         & ~_blank(F.element_at(m, k).cast("string")))), F.lit(1))
-    return (F.when(keys.isNull(), F.lit(None).cast("string"))
-            .when(_has_key(data_json, "text"), F.get_json_object(r, "$.data.text"))
-            .when(F.array_contains(keys, "text"), F.get_json_object(r, "$.text"))
-            .when(F.array_contains(keys, "content"), F.get_json_object(r, "$.content"))
+    return (F.when(m.isNull(), F.lit(None).cast("string"))
+            .when(F.coalesce(F.map_contains_key(dm, F.lit("text")), F.lit(False)),
+                  F.element_at(dm, F.lit("text")).cast("string"))
+            .when(F.map_contains_key(m, F.lit("text")), F.element_at(m, F.lit("text")).cast("string"))
+            .when(F.map_contains_key(m, F.lit("content")), F.element_at(m, F.lit("content")).cast("string"))
             .otherwise(F.element_at(m, fallback_key).cast("string")))
 
 
-def label_expr(rec: str = "rec") -> Column:
+def label_expr(v: str = "_rec_v") -> Column:
     """P03 + P04: first character of a string choice, first element of an
     array choice; anything else (missing, empty, other type) -> NULL."""
-    choice = F.expr(f"try_variant_get(try_parse_json({rec}), '{LABEL_PATH}')")
+    choice = F.expr(f"try_variant_get({v}, '{LABEL_PATH}')")
     kind = F.schema_of_variant(choice)
-    first_elem = F.expr(f"try_variant_get(try_parse_json({rec}), '{LABEL_PATH}[0]', 'string')")
+    first_elem = F.expr(f"try_variant_get({v}, '{LABEL_PATH}[0]', 'string')")
     as_text = choice.cast("string")
     return (F.when(kind == F.lit("STRING"), F.nullif(F.substring(as_text, 1, 1), F.lit("")))
             .when(kind.startswith("ARRAY"), first_elem)
@@ -61,13 +61,16 @@ def label_expr(rec: str = "rec") -> Column:
 
 
 def extract_records(records: DataFrame, rec: str = "rec") -> DataFrame:
-    """Add ``text`` (P01/P02) and ``label_raw`` / ``label``."""
-    with_map = records.withColumn(
-        "_rec_map", F.expr(f"try_cast(try_parse_json({rec}) AS map<string, variant>)"))
-    out = (with_map.withColumn("text", text_expr(rec))
-           .withColumn("label_raw", label_expr(rec))
+    """Add ``text`` (P01/P02) and ``label_raw`` / ``label``.
+    Each record is parsed once into a VARIANT; the maps are read from it."""
+    parsed = (records.withColumn("_rec_v", F.expr(f"try_parse_json({rec})"))
+              .withColumn("_rec_map", F.expr("try_cast(_rec_v AS map<string, variant>)"))
+              .withColumn("_data_map", F.expr("try_cast(try_variant_get(_rec_v, '$.data') "
+                                              "AS map<string, variant>)")))
+    out = (parsed.withColumn("text", text_expr(rec))
+           .withColumn("label_raw", label_expr())
            .withColumn("label", F.expr("try_cast(label_raw AS INT)")))
-    return out.drop("_rec_map")
+    return out.drop("_rec_v", "_rec_map", "_data_map")
 
 
 def keep_labelled_text(df: DataFrame) -> DataFrame:
