@@ -48,6 +48,9 @@ class Settings:
     embedding_dim: int = 64
     # rank buckets for the stratified split (first hex digits of the row hash)
     split_hash_digits: int = 4
+    # iterative fits: feature non-zeros per task, and Spark ML's block size (MB)
+    fit_nonzeros_per_partition: int = 20_000_000
+    fit_block_mb: float = 16.0
     extra: dict = field(default_factory=dict)
 
 
