@@ -195,7 +195,7 @@ def gram_hashes(values: np.ndarray, k: int) -> np.ndarray:
 CHUNK_SCHEMA = "chunk long, docs int, bytes long, ids binary, known binary, lens binary, blob binary"
 
 
-def chunk_table(scratch: Scratch, docs: DataFrame) -> DataFrame:
+def chunk_table(scratch: Scratch, docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """One row per chunk: ids (int64), known (id not NULL), lens (int64) and the
     compressed texts of its documents, by ascending id. NULL text = empty text."""
     spark = scratch.spark
@@ -221,7 +221,7 @@ def chunk_table(scratch: Scratch, docs: DataFrame) -> DataFrame:
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1))):
                 t = t or b""
-                if ids and (size + len(t) > CHUNK_BYTES or len(ids) >= CHUNK_DOCS):
+                if ids and (size + len(t) > chunk_bytes or len(ids) >= CHUNK_DOCS):
                     yield row()
                     seq, ids, texts, size = seq + 1, [], [], 0
                 ids.append(i)
@@ -267,7 +267,7 @@ def bucket_bits(chunks: DataFrame) -> int:
 
 
 # ------------------------------------------------------------------ packed keys
-KEY_BITS = 40          # bits of a key that travel besides the bucket's
+KEY_BYTES = 5          # bytes of a key that travel besides the bucket's bits
 
 
 def planes(a: np.ndarray, width: int) -> bytes:
@@ -290,13 +290,14 @@ def cut_buckets(keys: np.ndarray, lb: int):
         yield b, int(bounds[b]), int(bounds[b + 1])
 
 
-def key_payload(keys: np.ndarray, lb: int) -> bytes:
-    low = (keys >> U(64 - lb - KEY_BITS)) & U((1 << KEY_BITS) - 1)
-    return planes(np.diff(low, prepend=U(0)), 5)
+def key_payload(keys: np.ndarray, lb: int, width: int = KEY_BYTES) -> bytes:
+    """Ascending keys of a bucket as differences of their bits below the bucket's."""
+    low = keys << U(lb) >> U(64 - 8 * width)
+    return planes(np.diff(low, prepend=U(0)), width)
 
 
-def keys_back(payload: bytes) -> np.ndarray:
-    return np.cumsum(unplanes(payload, 5), dtype=U)
+def keys_back(payload: bytes, width: int = KEY_BYTES) -> np.ndarray:
+    return np.cumsum(unplanes(payload, width), dtype=U)
 
 
 REQUEST = "bucket int, chunk long, n int, payload binary"

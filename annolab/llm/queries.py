@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annolab.llm import common, decontaminate, langid, pieces, quality, topk
+from annolab.llm import (common, debruijn, decontaminate, hmm, langid, minhash, parsing, pieces, pii,
+                         quality, topk)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +34,11 @@ def op1_decontaminate(spark, sf_dir):
         documents(spark, sf_dir), table(spark, sf_dir, "benchmark")))
 
 
+@query
+def op2_pii(spark, sf_dir):
+    return pii.digest(pii.find(documents(spark, sf_dir)))
+
+
 @query
 def op3_quality(spark, sf_dir):
     ratings = table(spark, sf_dir, "labels").select("doc_id", quality.grade_of().alias("grade"))
@@ -51,6 +57,11 @@ def op4_pieces(spark, sf_dir):
         F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 
 
+@query
+def op5_hmm(spark, sf_dir):
+    return hmm.score(documents(spark, sf_dir))
+
+
 @query
 def op6_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -60,6 +71,21 @@ def op6_language(spark, sf_dir):
                       "lang_pred", "score", "rejected")
 
 
+@query
+def op7_debruijn(spark, sf_dir):
+    return debruijn.dedup(documents(spark, sf_dir), finish=debruijn.digest)
+
+
+@query
+def op8_parsing(spark, sf_dir):
+    return parsing.dedup(documents(spark, sf_dir), finish=parsing.digest)
+
+
+@query
+def op9_minhash(spark, sf_dir):
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
 @query
 def op10_topk(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
