@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -42,6 +42,8 @@ class Settings:
     inference_preview_chars: int = 100
     samples_per_class: int = 2
     # ---- our own knobs ----
+    # annotation files by name (case-sensitive)
+    file_glob: str = "*.json"
     # files whose (decoded) path contains this substring are consensus files
     consensus_marker: str = "/consensus/"
     # hashing encoder used when no sentence encoder is plugged in
@@ -51,7 +53,6 @@ class Settings:
     # iterative fits: feature non-zeros per task, and Spark ML's block size (MB)
     fit_nonzeros_per_partition: int = 20_000_000
     fit_block_mb: float = 16.0
-    extra: dict = field(default_factory=dict)
 
 
 DEFAULTS = Settings()

@@ -54,23 +54,22 @@ def vote_texts(records: DataFrame, text: str = "text", label: str = "label",
     votes_for, votes_total, n_labels, first_seq, first_row); one row per
     distinct text; ``first_row`` is the row id of the text's first record.
 
-    Equal keys mean equal texts, so the text rides along as ``any_value`` in
-    the partial aggregates and crosses each shuffle at most once per task."""
-    keyed = records.select(text_key(text).alias("text_key"), F.col(text).alias("text"),
-                           F.col(label).alias("label"), F.col(seq).alias("seq"),
-                           F.col(row_id).alias("row_id"))
-    per = (keyed.groupBy("text_key", "label")
-           .agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq"),
-                F.min_by("row_id", "seq").alias("first_row"),
-                F.any_value("text").alias("text")))
-    return (per.groupBy("text_key")
-            .agg(F.any_value("text").alias("text"),
-                 F.min_by(F.col("label"), F.struct(-F.col("n"), F.col("first_seq"))).alias("label"),
-                 F.max("n").alias("votes_for"),
-                 F.sum("n").alias("votes_total"),
-                 F.count(F.lit(1)).alias("n_labels"),
-                 F.min("first_seq").alias("first_seq"),
-                 F.min_by("first_row", "first_seq").alias("first_row")))
+    The vote runs on hash keys and row ids alone; the text of a winner is then
+    fetched from its first record, so every text crosses at most one shuffle."""
+    keyed = records.select(text_key(text).alias("text_key"), F.col(label).alias(label),
+                           F.col(seq).alias("seq"), F.col(row_id).alias("row_id"))
+    per = (keyed.groupBy("text_key", label)
+           .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("seq", "row_id")).alias("first")))
+    won = (per.groupBy("text_key")
+           .agg(F.min_by(F.col(label), F.struct(-F.col("n"), F.col("first.seq"))).alias(label),
+                F.max("n").alias("votes_for"),
+                F.sum("n").alias("votes_total"),
+                F.count(F.lit(1)).alias("n_labels"),
+                F.min("first").alias("first"))
+           .withColumn("first_seq", F.col("first.seq")).withColumn("first_row", F.col("first.row_id")).drop("first"))
+    texts = records.select(F.col(row_id).alias("first_row"), F.col(text).alias("text"))
+    return won.join(texts, "first_row").select("text_key", "text", label, "votes_for", "votes_total",
+                                               "n_labels", "first_seq", "first_row")
 
 
 def consensus_keys(voted: DataFrame) -> DataFrame:

@@ -3,15 +3,16 @@
 The reference runs a frozen sentence encoder in batches of 32. Here the
 encoder is pluggable:
 
-* default: a JVM-side hashing encoder - the n-grams of the text hashed into
-  ``embedding_dim`` buckets (``HashingTF``) and L2-normalised; map-only, no
-  Python;
+* default: a JVM-side hashing encoder - each n-gram of the text adds +1 or -1
+  (by the md5 of the n-gram) to one of ``embedding_dim`` buckets, and the vector is
+  L2-normalised; map-only, no Python;
 * any Python callable ``encode(list[str]) -> np.ndarray[n, d]`` runs in an
   iterator ``mapInPandas``: the encoder is built once per task and fed
   sub-batches of ``batch_size`` texts (Arrow batches in between).
 
-The cache is a Parquet table keyed by (model_name, text_sha); only texts whose
-key is missing (left-anti join) are encoded, then appended.
+The cache is a Parquet table, partitioned by (model_name, params) - everything that
+decides a vector: dimension and n-gram range - and keyed by text_sha; only texts
+whose key is missing (left-anti join) are encoded, then appended.
 """
 
 from __future__ import annotations
@@ -20,24 +21,45 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import HashingTF, Normalizer
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annolab.config import DEFAULTS, Settings
 from annolab.operators import features as FE
+from annolab.session import materialize
 
 HASHING_MODEL = "hashing-ngrams"
+CACHE = "text_sha string, embedding array<double>, model_name string, params string"
+
+
+def gram_slot(gram: Column, dim: int) -> Column:
+    """Signed bucket of an n-gram as a term: first 8 hex digits of its md5 modulo dim,
+    and '-' if the next digit is odd."""
+    h = F.md5(gram)
+    bucket = (F.conv(F.substring(h, 1, 8), 16, 10).cast("long") % dim).cast("string")
+    odd = F.conv(F.substring(h, 9, 1), 16, 10).cast("int") % 2 == 1
+    return F.concat(F.when(odd, F.lit("-")).otherwise(F.lit("+")), bucket)
 
 
 def hashing_embed(df: DataFrame, text: str = "text", out: str = "embedding",
                   settings: Settings = DEFAULTS) -> DataFrame:
+    """Signed hashed n-gram counts, L2-normalised (a text without n-grams: zeros)."""
+    dim = settings.embedding_dim
     g = FE.with_grams(df, text, "_grams", settings)
-    tf = HashingTF(numFeatures=settings.embedding_dim, inputCol="_grams", outputCol="_tf")
-    norm = Normalizer(p=2.0, inputCol="_tf", outputCol="_vec")
-    return norm.transform(tf.transform(g)).withColumn(out, vector_to_array("_vec")) \
-               .drop("_grams", "_tf", "_vec")
+    g = g.withColumn("_slots", F.transform(F.coalesce("_grams", F.array().cast("array<string>")),
+                                           lambda x: gram_slot(x, dim)))
+    count = CountVectorizerModel.from_vocabulary([f"{s}{k}" for s in "+-" for k in range(dim)],
+                                                 inputCol="_slots", outputCol="_counts")
+    g = count.transform(g).withColumn("_c", vector_to_array("_counts"))
+    g = g.withColumn("_v", F.zip_with(F.slice("_c", 1, dim), F.slice("_c", dim + 1, dim), lambda a, b: a - b))
+    g = g.withColumn("_norm", F.sqrt(F.aggregate("_v", F.lit(0.0), lambda acc, v: acc + v * v)))
+    # the norm enters as a second array: a lambda that named it would compute it anew
+    # for every element
+    norms = F.array_repeat(F.when(F.col("_norm") > 0, F.col("_norm")).otherwise(1.0), dim)
+    return g.withColumn(out, F.zip_with("_v", norms, lambda v, n: v / n)) \
+            .drop("_grams", "_slots", "_counts", "_c", "_v", "_norm")
 
 
 def python_embed(df: DataFrame, encoder_factory: Callable[[], Callable[[list[str]], np.ndarray]],
@@ -57,7 +79,28 @@ def python_embed(df: DataFrame, encoder_factory: Callable[[], Callable[[list[str
 
 
 def text_key(text: str = "text"):
-    return F.sha2(F.col(text), 256)
+    return F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+
+
+def read_cache(spark: SparkSession, path: str) -> DataFrame:
+    """The cache table; empty when the path does not exist (any other failure shows)."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return spark.read.schema(CACHE).parquet(path) if there else spark.createDataFrame([], CACHE)
+
+
+def missing_texts(df: DataFrame, cache_path: str, params: str, text: str = "text",
+                  model_name: str = HASHING_MODEL) -> DataFrame:
+    """(text_sha, text) of the distinct texts that the cache lacks."""
+    have = read_cache(df.sparkSession, cache_path).filter(
+        (F.col("model_name") == model_name) & (F.col("params") == params)).select("text_sha")
+    distinct = df.select(text_key(text).alias("text_sha"), text).dropDuplicates(["text_sha"])
+    return distinct.join(have, "text_sha", "left_anti")
+
+
+def params_of(dim: int, settings: Settings = DEFAULTS) -> str:
+    lo, hi = settings.ngram_range
+    return f"dim={dim},ngrams={lo}-{hi}"
 
 
 def cached_embed(df: DataFrame, cache_path: str | None, text: str = "text",
@@ -65,26 +108,21 @@ def cached_embed(df: DataFrame, cache_path: str | None, text: str = "text",
                  encoder_factory=None, dim: int | None = None) -> DataFrame:
     """Add ``embedding`` to every row of df, encoding each distinct text once
     and only when the cache lacks it (S08)."""
-    spark = df.sparkSession
+    spark, dim = df.sparkSession, dim or settings.embedding_dim
+    params = params_of(dim, settings)
     keyed = df.withColumn("text_sha", text_key(text))
-    distinct = keyed.select("text_sha", text).dropDuplicates(["text_sha"])
-    cached = None
     if cache_path:
-        try:
-            cached = spark.read.parquet(cache_path).filter(F.col("model_name") == model_name) \
-                          .select("text_sha", "embedding")
-        except Exception:  # noqa: BLE001 - no cache yet
-            cached = None
-    missing = distinct if cached is None else distinct.join(cached, "text_sha", "left_anti")
+        missing = materialize(missing_texts(df, cache_path, params, text, model_name), "missing")
+    else:
+        missing = keyed.select("text_sha", text).dropDuplicates(["text_sha"])
     if encoder_factory is None:
         fresh = hashing_embed(missing, text, "embedding", settings).select("text_sha", "embedding")
     else:
-        fresh = python_embed(missing, encoder_factory, dim or settings.embedding_dim, text)
+        fresh = python_embed(missing, encoder_factory, dim, text)
     if cache_path:
-        (fresh.withColumn("model_name", F.lit(model_name))
-         .write.mode("append").parquet(cache_path))
-        table = spark.read.parquet(cache_path).filter(F.col("model_name") == model_name) \
-                     .select("text_sha", "embedding").dropDuplicates(["text_sha"])
-    else:
-        table = fresh
-    return keyed.join(table, "text_sha").drop("text_sha")
+        (fresh.withColumn("model_name", F.lit(model_name)).withColumn("params", F.lit(params))
+         .write.mode("append").partitionBy("model_name", "params").parquet(cache_path))
+        fresh = (read_cache(spark, cache_path)
+                 .filter((F.col("model_name") == model_name) & (F.col("params") == params))
+                 .select("text_sha", "embedding").dropDuplicates(["text_sha"]))
+    return keyed.join(fresh, "text_sha").drop("text_sha")

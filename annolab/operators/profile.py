@@ -20,23 +20,35 @@ def text_length(col: str = "text"):
 
 
 def class_distribution(df: DataFrame, label: str = "label", by: list[str] | None = None) -> DataFrame:
-    """A03 + A04: count per class (NULL labels ignored), % of all rows (2 dp)."""
+    """A03 + A04: count per class, % of all rows (2 dp). Rows without a label are no
+    class, but count among all rows."""
     by = list(by or [])
-    counts = (df.filter(F.col(label).isNotNull()).groupBy(*by, label)
-              .agg(F.count(F.lit(1)).alias("n")))
+    counts = df.groupBy(*by, label).agg(F.count(F.lit(1)).alias("n"))
     total = F.sum("n").over(Window.partitionBy(*by))  # over the K-row count table
-    return counts.withColumn("pct", F.round(F.col("n") * 100.0 / total, 2))
+    return (counts.withColumn("pct", F.round(F.col("n") * 100.0 / total, 2))
+            .filter(F.col(label).isNotNull()))
 
 
 def length_by_class(df: DataFrame, label: str = "label", text: str = "text") -> DataFrame:
-    """Mean (2 dp), count, min, max of the text length per class."""
-    return (df.withColumn("_len", text_length(text)).groupBy(label)
+    """Mean (2 dp), count, min, max of the text length per class (rows without
+    a label belong to none)."""
+    return (df.filter(F.col(label).isNotNull()).withColumn("_len", text_length(text)).groupBy(label)
             .agg(F.round(F.avg("_len"), 2).alias("mean_len"),
                  F.count(F.lit(1)).alias("n"),
                  F.min("_len").alias("min_len"),
                  F.max("_len").alias("max_len")))
 
 
+def dataset_card(df: DataFrame, label: str = "label", text: str = "text") -> DataFrame:
+    """The summary card of each class: display name, rows, mean text length (0 dp,
+    half to even), shortest and longest text."""
+    ln = text_length(text)
+    return (df.filter(F.col(label).isNotNull()).groupBy(label)
+            .agg(F.count(F.lit(1)).alias("n"), F.bround(F.avg(ln), 0).alias("mean_len"),
+                 F.min(ln).alias("min_len"), F.max(ln).alias("max_len"))
+            .select(class_name(label).alias("class"), "n", "mean_len", "min_len", "max_len"))
+
+
 def length_stats(df: DataFrame, text: str = "text") -> DataFrame:
     """Mean, exact median, sample std, min, max of the text length.
 
@@ -78,8 +90,9 @@ def length_histogram(df: DataFrame, text: str = "text",
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
-    """Balanced weights n / (K_present * n_c), keyed by label."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    """Balanced weights n / (K_present * n_c), keyed by label (rows without a
+    label are left out)."""
+    counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     whole = Window.partitionBy()  # K rows
     return counts.withColumn(
         "weight", F.sum("n").over(whole) / (F.count(F.lit(1)).over(whole) * F.col("n")))

@@ -192,7 +192,7 @@ UNION ALL SELECT 'skipped_duplicates', count(*) FROM regular r
           WHERE EXISTS (SELECT 1 FROM voted v WHERE v.text = r.text)
 UNION ALL SELECT 'regular_kept', count(*) FROM kept"""))
 def q_stage_counts(spark, sf_dir):
-    records, parts = dataset(spark, sf_dir, materialize=False)
+    records, parts = dataset(spark, sf_dir)
     return D.stage_counts(records, parts)
 
 
@@ -205,4 +205,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 # the other query groups register themselves on import
-from annolab.plans import queries_profile  # noqa: E402,F401
+from annolab.plans import queries_files, queries_models, queries_profile  # noqa: E402,F401

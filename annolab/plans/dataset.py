@@ -4,7 +4,9 @@ training data (P05, P06, A01, A02, J01, J02, W01, W02, U02, A06).
 Input: records ``(doc_id, seq, filename, kind, text, label)``: ``doc_id`` is
 the row id, ``seq`` orders the records (first seen = smallest; a number or a
 struct such as (path, pos)), ``kind`` is 'consensus' or 'regular' and
-``label`` may be NULL (unlabelled record).
+``label`` may be NULL (unlabelled record). Records read from files also have
+``label_raw``: the vote is on the raw label, and a text whose winning label is no
+integer stays a consensus text but is no test row.
 """
 
 from __future__ import annotations
@@ -37,12 +39,17 @@ def has_text(col: str = "text"):
 
 def build_dataset(records: DataFrame, settings: Settings = DEFAULTS,
                   materialize: bool = True) -> DatasetParts:
-    """``materialize`` writes the kept regular rows to the shared checkpoint
-    folder before the split: the split reads its input twice (bucket counts
-    on two columns, then assignment), and the anti-join above it runs once."""
+    """``materialize`` writes the voted texts and the kept regular rows to the shared
+    checkpoint folder: both have several readers (the split reads its input
+    twice), and the vote and the anti-join run once."""
     with_text = records.filter(has_text())
-    consensus = with_text.filter((F.col("kind") == "consensus") & F.col("label").isNotNull())
-    voted = C.vote_texts(consensus, seq="seq", row_id="doc_id")
+    raw = "label_raw" if "label_raw" in records.columns else "label"
+    consensus = with_text.filter((F.col("kind") == "consensus") & F.col(raw).isNotNull())
+    voted = C.vote_texts(consensus, label=raw, seq="seq", row_id="doc_id")
+    if raw != "label":
+        voted = voted.withColumn("label", F.expr(f"try_cast({raw} AS INT)"))
+    if materialize:
+        voted = _materialize(voted, "voted")
     keys = C.consensus_keys(voted)
     regular = with_text.filter(F.col("kind") == "regular")
     duplicates = C.consensus_duplicates(regular, keys)
@@ -53,7 +60,7 @@ def build_dataset(records: DataFrame, settings: Settings = DEFAULTS,
         kept = _materialize(kept, "kept")
     split = S.stratified_split(kept, "label", "doc_id", settings.val_fraction,
                                settings.seed, settings.split_hash_digits)
-    test = voted.select(F.col("first_row").alias("doc_id"), F.lit("consensus").alias("filename"),
+    test = voted.filter(F.col("label").isNotNull()).select(F.col("first_row").alias("doc_id"), F.lit("consensus").alias("filename"),
                         "text", "label", F.lit("test").alias("split"))
     complete = split.unionByName(test)
     return DatasetParts(with_text, voted, duplicates, kept, split, complete)

@@ -13,7 +13,8 @@ from annolab.operators import metrics as M
 from annolab.operators import profile as P
 from annolab.operators import split as S
 from annolab.plans import evaluation as EV
-from annolab.plans.catalog import SQL_SPLIT, dataset, register
+from annolab.plans.catalog import SQL_ANNOTATED, SQL_SPLIT, dataset, register
+from annolab.session import materialize, spread
 from annolab.sources import testdata as T
 
 SQL_CORPUS = """
@@ -43,6 +44,25 @@ def q_length_by_class(spark, sf_dir):
     return P.length_by_class(T.corpus(spark, sf_dir))
 
 
+# A16
+@register("dataset_card", W(SQL_CORPUS) + """
+SELECT 'Class ' || CAST(label AS VARCHAR) AS "class", count(*) AS n,
+       round_even(avg(length(text)), 0) AS mean_len,
+       CAST(min(length(text)) AS INTEGER) AS min_len, CAST(max(length(text)) AS INTEGER) AS max_len
+FROM corpus GROUP BY label""")
+def q_dataset_card(spark, sf_dir):
+    return P.dataset_card(T.corpus(spark, sf_dir))
+
+
+# A04 over records of which some have no label
+@register("class_share", W(SQL_ANNOTATED) + """
+SELECT label, n, pct FROM (
+  SELECT label, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 2) AS pct
+  FROM annotated GROUP BY label) WHERE label IS NOT NULL""")
+def q_class_share(spark, sf_dir):
+    return P.class_distribution(T.annotated_documents(spark, sf_dir))
+
+
 # A08
 @register("length_stats", W(SQL_CORPUS) + """
 SELECT round(avg(length(text)), 6) AS mean_len, round(median(length(text)), 6) AS median_len,
@@ -148,9 +168,11 @@ vocab AS (SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS
 
 
 def _vocab(spark, sf_dir):
-    _, parts = dataset(spark, sf_dir)
-    fit = parts.complete.filter(F.col("split").isin("train", "val"))
-    return parts, FE.fit_vocabulary(fit, "doc_id", "text", DEFAULTS)
+    """The dataset's complete table dealt out for the tokenising (heavy per row), and
+    the vocabulary of its train and val rows."""
+    complete = spread(dataset(spark, sf_dir)[1].complete)
+    fit = complete.filter(F.col("split").isin("train", "val"))
+    return complete, FE.fit_vocabulary(fit, "doc_id", "text", DEFAULTS)
 
 
 @register("vocabulary", "WITH " + SQL_VOCAB + "\nSELECT term, idx, tf, df FROM vocab")
@@ -170,8 +192,8 @@ long_form AS (SELECT a.doc_id, v.idx, a.tf FROM adt a JOIN vocab v ON a.term = v
 # T06 J05
 @register("doc_term_counts", "WITH " + SQL_DOC_TERMS + "\nSELECT doc_id, idx, tf FROM long_form")
 def q_doc_term_counts(spark, sf_dir):
-    parts, vocab = _vocab(spark, sf_dir)
-    return FE.vectorize_long(parts.complete, vocab, "doc_id", "text", DEFAULTS)
+    complete, vocab = _vocab(spark, sf_dir)
+    return FE.vectorize_long(complete, vocab, "doc_id", "text", DEFAULTS)
 
 
 # A25
@@ -179,9 +201,10 @@ def q_doc_term_counts(spark, sf_dir):
 SELECT (SELECT count(*) FROM complete) AS n_docs, (SELECT count(*) FROM vocab) AS vocab_size,
        (SELECT count(*) FROM long_form) AS nnz, (SELECT CAST(sum(tf) AS BIGINT) FROM long_form) AS total_tf""")
 def q_vocab_shape(spark, sf_dir):
-    parts, vocab = _vocab(spark, sf_dir)
-    lf = FE.vectorize_long(parts.complete, vocab, "doc_id", "text", DEFAULTS)
-    return FE.matrix_shape(lf, parts.complete, vocab)
+    complete, vocab = _vocab(spark, sf_dir)
+    vocab = materialize(vocab, "vocabulary")          # read twice, at most max_features rows
+    lf = FE.vectorize_long(complete, vocab, "doc_id", "text", DEFAULTS)
+    return FE.matrix_shape(lf, complete, vocab)
 
 
 # ---------------------------------------------------------------- F8 ordinal head
@@ -262,7 +285,7 @@ ce AS (
 def _weighted_rows(spark, sf_dir):
     s = EV.fixed_ordinal_scored(spark, sf_dir)
     w = P.class_weights(s, "label").select("label", "weight")
-    j = s.join(F.broadcast(w), "label")  # K rows
+    j = s.join(w, "label")
     return (j.withColumn("coral", F.col("weight") * O.coral_row_loss("z", "label", 5))
             .withColumn("soft", F.transform(F.sequence(F.lit(1), F.lit(5)),
                                             lambda c: (c - 3).cast("double") * F.col("score")))
@@ -323,13 +346,13 @@ m2 AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0
                       ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM m1)"""
 
 
-def _cm(spark, sf_dir):
-    return M.confusion_matrix(EV.all_predictions(spark, sf_dir))
+def _pairs(spark, sf_dir):
+    return M.count_pairs(EV.all_predictions(spark, sf_dir))
 
 
 @register("confusion_matrix", W(SQL_PRED) + "SELECT model, y_true, y_pred, n FROM cm")
 def q_confusion_matrix(spark, sf_dir):
-    return _cm(spark, sf_dir)
+    return M.confusion_matrix(EV.all_predictions(spark, sf_dir))
 
 
 @register("classification_report", W(SQL_PRED) + """
@@ -343,7 +366,7 @@ SELECT model, 'weighted avg', round(sum(precision * support) / sum(support), 6),
        round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
        CAST(sum(support) AS BIGINT) FROM m2 GROUP BY model""")
 def q_classification_report(spark, sf_dir):
-    return M.classification_report(_cm(spark, sf_dir))
+    return M.classification_report(_pairs(spark, sf_dir))
 
 
 @register("eval_summary", W(SQL_PRED) + """
@@ -351,14 +374,14 @@ SELECT model, round(sum(tp) / sum(support), 6) AS accuracy, round(avg(f1), 6) AS
        round(sum(f1 * support) / sum(support), 6) AS weighted_f1, CAST(sum(support) AS BIGINT) AS n
 FROM m2 GROUP BY model""")
 def q_eval_summary(spark, sf_dir):
-    return M.summary(_cm(spark, sf_dir))
+    return M.summary(_pairs(spark, sf_dir))
 
 
 @register("per_class_accuracy", W(SQL_PRED) + """
 SELECT model, cls AS label, round(tp / support, 6) AS accuracy, CAST(support AS BIGINT) AS n
 FROM m2 WHERE support > 0""")
 def q_per_class_accuracy(spark, sf_dir):
-    return M.per_class_accuracy(_cm(spark, sf_dir))
+    return M.per_class_accuracy(_pairs(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- W04-W07
@@ -433,121 +456,5 @@ def annotation_records(corpus):
 SELECT doc_id, text, label FROM corpus WHERE text IS NOT NULL AND text <> '' AND label IS NOT NULL""")
 def q_json_extract(spark, sf_dir):
     from annolab.functions.extract import extract_records, keep_labelled_text
-    recs = extract_records(annotation_records(T.corpus(spark, sf_dir)))
+    recs = extract_records(annotation_records(T.corpus(spark, sf_dir, heavy=True)))
     return keep_labelled_text(recs).select("doc_id", "text", "label")
-
-
-# ---------------------------------------------------------------- M01-M03 (fit)
-@register("baseline_fit")
-def q_baseline_fit(spark, sf_dir):
-    """Fit the bag-of-words logistic regression on train+val of the dataset
-    build, score the consensus test split: the report summary (A26)."""
-    from annolab.operators.models import fit_baseline
-    _, parts = dataset(spark, sf_dir)
-    fit = parts.complete.filter(F.col("split").isin("train", "val"))
-    model = fit_baseline(fit, "text", "label", DEFAULTS)
-    test = parts.complete.filter(F.col("split") == "test")
-    scored = model.transform(test).select(F.lit("baseline").alias("model"), "label", "predicted")
-    return M.summary(M.confusion_matrix(scored))
-
-
-# M11 (fit)
-@register("ordinal_fit")
-def q_ordinal_fit(spark, sf_dir):
-    """Fit the weighted CORAL model on the embeddings with vec_id not in the
-    validation 15 % (deterministic split), report its parameters."""
-    from annolab.operators.models import fit_ordinal
-    e = T.ordinal_embeddings(spark, sf_dir).withColumnRenamed("vec_id", "doc_id")
-    sp = S.stratified_split(e, "label", "doc_id", DEFAULTS.val_fraction, DEFAULTS.seed)
-    model = fit_ordinal(sp.filter(F.col("split") == "train"), "embedding", "label", DEFAULTS,
-                        reg_param=1e-3, max_iter=100)
-    rows = ([("w", i, float(v)) for i, v in enumerate(model.w)]
-            + [("b", i, float(v)) for i, v in enumerate(model.b)])
-    return spark.createDataFrame(rows, "param string, idx int, value double")
-
-
-# ---------------------------------------------------------------- M16 J04 U04 A24 P10 P17
-SQL_RULES_DOCS = """
-rd AS (SELECT doc_id, text,
-              CAST(CASE WHEN n_chars < 1000 THEN 1 WHEN n_chars < 2500 THEN 2 WHEN n_chars < 5000 THEN 3
-                        WHEN n_chars < 10000 THEN 4 ELSE 5 END AS INTEGER) AS length_rule_prediction,
-              CAST(length(lower(text)) % 4 + 1 AS INTEGER) AS mod_rule_prediction
-       FROM documents)"""
-
-
-def _rule_comparison(spark, sf_dir):
-    from annolab.operators import compare as CMP
-    docs = T.table(spark, sf_dir, "documents")
-    scored = {
-        "length_rule": docs.select("doc_id", EV.length_rule(docs).alias("predicted"),
-                                   F.lit(None).cast("double").alias("confidence")),
-        "mod_rule": docs.select("doc_id", EV.mod_rule().alias("predicted"),
-                                F.lit(None).cast("double").alias("confidence")),
-    }
-    wide = CMP.wide_predictions(CMP.long_predictions(scored), list(scored))
-    return docs, CMP.agreement(wide)
-
-
-@register("model_agreement", W(SQL_RULES_DOCS) + """
-SELECT doc_id, CASE WHEN length(text) > 100 THEN substring(text, 1, 100) || '...' ELSE text END AS preview,
-       length_rule_prediction, mod_rule_prediction,
-       length_rule_prediction = mod_rule_prediction AS agree,
-       CAST(length_rule_prediction AS VARCHAR) || ', ' || CAST(mod_rule_prediction AS VARCHAR) AS detail
-FROM rd""")
-def q_model_agreement(spark, sf_dir):
-    docs, agreed = _rule_comparison(spark, sf_dir)
-    texts = docs.select("doc_id", P.truncate("text").alias("preview"))
-    return agreed.join(texts, "doc_id").select(
-        "doc_id", "preview", "length_rule_prediction", "mod_rule_prediction", "agree", "detail")
-
-
-@register("agreement_rate", W(SQL_RULES_DOCS) + """
-SELECT count(*) AS n, CAST(sum(CAST(length_rule_prediction = mod_rule_prediction AS INTEGER)) AS BIGINT) AS n_agree,
-       round(avg(CAST(length_rule_prediction = mod_rule_prediction AS DOUBLE)) * 100.0, 1) AS agree_pct
-FROM rd""")
-def q_agreement_rate(spark, sf_dir):
-    from annolab.operators import compare as CMP
-    return CMP.agreement_rate(_rule_comparison(spark, sf_dir)[1])
-
-
-# M04 + M16: every document scored by the rule models and by the ordinal head
-# over hashed embeddings, compared (rows-only check)
-@register("inference_compare")
-def q_inference_compare(spark, sf_dir):
-    from annolab.operators import compare as CMP
-    from annolab.operators.embed import hashing_embed
-    from annolab.operators.models import OrdinalModel
-    docs = T.table(spark, sf_dir, "documents")
-    emb = hashing_embed(docs.select("doc_id", "text", "n_chars"), "text", "embedding", DEFAULTS)
-    head = OrdinalModel(EV.fixed_weights(DEFAULTS.embedding_dim), list(EV.FIXED_BIASES),
-                        DEFAULTS.num_classes)
-    ordinal = head.transform(emb).select("doc_id", "predicted", "confidence")
-    scored = {
-        "length_rule": docs.select("doc_id", EV.length_rule(docs).alias("predicted"),
-                                   F.lit(1.0).alias("confidence")),
-        "ordinal_hashed": ordinal,
-    }
-    wide = CMP.wide_predictions(CMP.long_predictions(scored), list(scored))
-    agreed = CMP.agreement(wide)
-    return agreed.join(docs.select("doc_id", P.truncate("text").alias("preview")), "doc_id")
-
-
-# Data-parallel MLP fit on the embeddings (85/15 split),
-# training history as the result (rows-only check)
-def _mlp_history(spark, sf_dir, ordinal):
-    from annolab.operators.mlp import fit_mlp
-    e = T.ordinal_embeddings(spark, sf_dir).withColumnRenamed("vec_id", "doc_id")
-    sp = S.stratified_split(e, "label", "doc_id", DEFAULTS.val_fraction, DEFAULTS.seed)
-    model = fit_mlp(sp.filter(F.col("split") == "train"), sp.filter(F.col("split") == "val"),
-                    settings=DEFAULTS, ordinal=ordinal)
-    return model.history_frame(spark, "ordinal" if ordinal else "softmax")
-
-
-@register("mlp_fit")
-def q_mlp_fit(spark, sf_dir):
-    return _mlp_history(spark, sf_dir, True)
-
-
-@register("mlp_softmax_fit")
-def q_mlp_softmax_fit(spark, sf_dir):
-    return _mlp_history(spark, sf_dir, False)

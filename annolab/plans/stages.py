@@ -12,17 +12,20 @@ from annolab.operators import metrics as M
 from annolab.operators import profile as P
 from annolab.plans.dataset import build_dataset, stage_counts
 from annolab.sources import tables as TB
-from annolab.sources.annotations import read_annotations
+from annolab.session import materialize
+from annolab.sources.annotations import all_records, quarantine, read_files, usable
 
 
 def build_from_files(spark: SparkSession, root: str, out: str, settings: Settings = DEFAULTS):
     """Entry A: annotation files -> split table (Parquet, by split), the
     quarantine list, stage counters and the class distribution per split."""
-    records, quarantine = read_annotations(spark, root, settings)
+    classified, recs = all_records(spark, read_files(spark, root, settings), root, settings)
+    recs = materialize(recs, "records")            # every file is parsed once
+    records = usable(recs)
     parts = build_dataset(records, settings)
     TB.write_split_table(parts.complete.select("doc_id", "filename", "text", "label", "split"),
                          f"{out}/complete")
-    quarantine.write.mode("overwrite").parquet(f"{out}/quarantine")
+    quarantine(classified, recs).write.mode("overwrite").parquet(f"{out}/quarantine")
     stage_counts(records, parts).write.mode("overwrite").parquet(f"{out}/stage_counts")
     split = TB.read_split(spark, f"{out}/complete")
     P.class_distribution(split, "label", by=["split"]).write.mode("overwrite").parquet(
@@ -43,8 +46,70 @@ def train_and_evaluate_baseline(spark: SparkSession, table: str, out: str,
                           *[F.get("probs", k).alias(f"prob_class_{k + 1}")
                             for k in range(settings.num_classes)])
     preds.write.mode("overwrite").parquet(f"{out}/baseline_predictions")
-    cm = M.confusion_matrix(scored.select(F.lit("baseline").alias("model"), "label", "predicted"))
-    cm.write.mode("overwrite").parquet(f"{out}/baseline_confusion")
-    cm = spark.read.parquet(f"{out}/baseline_confusion")
-    M.classification_report(cm).write.mode("overwrite").parquet(f"{out}/baseline_report")
+    return write_reports(scored.select(F.lit("baseline").alias("model"), "label", "predicted"), f"{out}/baseline")
+
+
+def write_reports(pred, prefix: str):
+    """The confusion matrix, the class report and the per-class accuracies (P13, A17-A23);
+    returns the summary."""
+    M.confusion_matrix(pred).write.mode("overwrite").parquet(f"{prefix}_confusion")
+    cm = pred.sparkSession.read.parquet(f"{prefix}_confusion")
+    M.classification_report(cm).write.mode("overwrite").parquet(f"{prefix}_report")
+    M.per_class_accuracy(cm).write.mode("overwrite").parquet(f"{prefix}_class_accuracy")
     return M.summary(cm)
+
+
+def train_and_evaluate_ordinal(spark: SparkSession, table: str, out: str, settings: Settings = DEFAULTS,
+                               hidden: tuple = (), max_iter: int = 100):
+    """Entry C: embed the texts (cached), fit the ordinal network on train (the labels of
+    val are only scored), save it, score val and test, write predictions and reports."""
+    from annolab.operators.embed import cached_embed
+    from annolab.operators.mlp import fit_ordinal_network, history_frame
+    rows = cached_embed(TB.read_split(spark, table, "train", "val", "test")
+                        .select("doc_id", "text", "label", "split"), f"{out}/embeddings", settings=settings)
+    rows = materialize(rows, "embedded")
+    net = fit_ordinal_network(rows.where("split = 'train'"), "embedding", "label", settings, hidden, max_iter)
+    net.save(spark, f"{out}/ordinal_model")
+    TB.append_history(history_frame(spark, net, "ordinal"), f"{out}/ordinal_history")
+    scored = net.transform(rows).withColumn("correct", M.correct_flag())
+    scored.select("doc_id", "split", "label", "predicted", "correct", "confidence",
+                  *[F.get("probs", k).alias(f"prob_class_{k + 1}") for k in range(settings.num_classes)]) \
+        .write.mode("overwrite").parquet(f"{out}/ordinal_predictions")
+    pred = spark.read.parquet(f"{out}/ordinal_predictions")
+    return write_reports(pred.where("split = 'test'").select(F.lit("ordinal").alias("model"), "label", "predicted"),
+                         f"{out}/ordinal")
+
+
+def _there(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def texts_frame(spark: SparkSession, texts: list[str]):
+    """A list of texts as a table with row ids in the order given."""
+    return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+
+
+def infer(spark: SparkSession, texts, models: str, out: str | None = None, settings: Settings = DEFAULTS):
+    """Entry D (M16): score texts (a list, or a table with doc_id and text) with every
+    saved model below ``models`` that exists; returns (table, agreement rate). The table
+    has a preview, a prediction and a confidence per model, and whether they agree; it is
+    written as CSV if ``out`` is given."""
+    from annolab.operators import compare as CMP
+    from annolab.operators.embed import cached_embed
+    from annolab.operators.mlp import Network
+    from annolab.operators.models import BaselineModel
+    rows = (texts_frame(spark, texts) if isinstance(texts, list) else texts).select("doc_id", "text")
+    scored = {}
+    if _there(spark, f"{models}/baseline_model"):
+        s = BaselineModel.load(f"{models}/baseline_model", settings).transform(rows)
+        scored["Baseline"] = s.select("doc_id", "predicted", F.element_at("probs", F.col("predicted")).alias("confidence"))
+    if _there(spark, f"{models}/ordinal_model"):
+        embedded = cached_embed(rows, None, settings=settings).select("doc_id", "embedding")
+        scored["MLP"] = Network.load(spark, f"{models}/ordinal_model").transform(embedded)
+    wide = CMP.wide_predictions(CMP.long_predictions(scored, spark=spark), list(scored))
+    table = rows.select("doc_id", P.truncate("text", settings.inference_preview_chars).alias("text")) \
+        .join(CMP.agreement(wide), "doc_id", "left" if not scored else "inner")
+    if out and scored:
+        TB.write_csv(table.drop("agree", "detail"), out)
+    return table, CMP.agreement_rate(table)

@@ -1,12 +1,14 @@
 """SparkSession helpers: a configured local session for tests and bench, and the
-shared checkpoint folder (read from the session, set only when unset)."""
+shared checkpoint folder (read from the session, set only for a local master)."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -28,50 +30,65 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    shared_folder(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster the operator sets it to a shared filesystem; only when it is
-    unset (local tests) do we create a scratch folder of our own."""
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf:
-        conf = tempfile.mkdtemp(prefix="annolab-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(conf)
-    return conf
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, else
+    the folder given to ``SparkContext.setCheckpointDir``. Only a local master may
+    have neither; it gets a scratch folder of its own."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        found = tempfile.mkdtemp(prefix="annolab-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A path under the shared checkpoint folder (for written intermediate tables)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return "/".join([base, *parts])
-
-
-def materialize(df, name: str = "table"):
-    """Cut lineage: write df as a Parquet table under the shared checkpoint
-    folder and read it back (survives executor loss; unlike an RDD
-    checkpoint the result keeps column pruning and filter pushdown).
-    Eager: one job."""
-    import uuid
-    path = shared_path(df.sparkSession, "tables", f"{name}-{uuid.uuid4().hex}")
+    """A path under the shared folder (for written intermediate tables)."""
+    return "/".join([shared_folder(spark), *parts])
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Cut lineage: write df as a Parquet table under the shared folder and read
+    it back (survives executor loss; unlike an RDD checkpoint the result keeps
+    column pruning and filter pushdown). Eager: one job. The table is deleted
+    when the driver ends."""
+    spark = df.sparkSession
+    path = shared_path(spark, "tables", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def spread(df, min_partitions: int | None = None):
-    """Give CPU-heavy per-row work (tokenising, JSON parsing) at least as many
-    tasks as the cluster has cores. Only a narrow scan (fewer splits than
-    ``defaultParallelism``, e.g. one small file with one row group) is
-    repartitioned; a large input already has more splits than cores and is
-    returned untouched, so no extra shuffle is added at scale."""
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """For CPU-heavy work per row (tokenising, JSON parsing) over a narrow scan, such
+    as one file with one row group: deal the rows out to as many tasks as there are
+    cores. A scan that has them already is returned as it is. Queries ask for this
+    explicitly, where the work per row outweighs moving it."""
+    want = partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable on the workers, wherever the driver started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="annolab-ship-"), "annolab_ship.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)

@@ -3,13 +3,19 @@ array of records, read as whole files and exploded to one row per element.
 
 * S01 recursive scan, case-sensitive ``*.json``; ``_metadata.file_path``;
 * S02 one row per array element with its position (file order kept);
-* S03 files that are not a list, malformed, or empty go to a quarantine
-  DataFrame ``(path, reason)``; elements that are not objects are dropped;
-* S04 consensus vs regular by a substring of the URL-decoded path; base name.
+* S03 nothing is lost silently: a file that is not a list, malformed or empty,
+  and a record that is no object, can't be parsed or has a label that is not an
+  integer, each has a quarantine row ``(path, pos, reason, detail)``;
+* S04 consensus vs regular by a substring of the URL-decoded path below the
+  root (so the root's own spelling decides nothing); base name.
+
+An element is parsed on its own, never the file as one value: the size limit of
+a VARIANT holds per record. A key that occurs twice keeps its last value.
 
 Files are the unit of parallelism: many files spread over all tasks. A single
-file is one row (whole-text read), which bounds a file at the 2 GB string
-limit - annotation exports are far below it.
+file is one row (whole-text read), which bounds a file at the 2 GB limit of a
+string, and is parsed by one task: a JSON array has no record boundaries at
+which a reader could split it.
 """
 
 from __future__ import annotations
@@ -18,54 +24,101 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annolab.config import DEFAULTS, Settings
-from annolab.functions.extract import extract_records
+from annolab.functions.extract import extract_records, last_key_wins
 
 
-def read_files(spark: SparkSession, root: str) -> DataFrame:
+def read_files(spark: SparkSession, root: str, settings: Settings = DEFAULTS) -> DataFrame:
     """(path, body) for every *.json file below root."""
-    raw = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-           .option("pathGlobFilter", "*.json").text(root))
+    raw = (spark.read.option("recursiveFileLookup", True)
+           .option("pathGlobFilter", settings.file_glob).text(root, wholetext=True))
     return raw.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
 
 
-def classify(files: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """S03 + S04: file-level reason and kind."""
-    n = F.json_array_length("body")
-    reason = (F.when(n.isNull() & F.expr("try_parse_json(body)").isNull(), F.lit("malformed"))
-              .when(n.isNull(), F.lit("not_a_list"))
-              .when(n == 0, F.lit("empty")))
-    decoded = F.expr("try_url_decode(path)")
-    decoded = F.coalesce(decoded, F.col("path"))
-    return (files.withColumn("reason", reason)
-            .withColumn("kind", F.when(decoded.contains(settings.consensus_marker), F.lit("consensus"))
-                        .otherwise(F.lit("regular")))
-            .withColumn("filename", F.element_at(F.split(decoded, "/"), -1)))
+def below_root(spark: SparkSession, root: str):
+    """The decoded path below the (qualified) root; the whole path if it is not
+    below it, as for a root with wildcards."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    base = path.getFileSystem(conf).makeQualified(path).toUri().getPath().rstrip("/")
+    decoded = F.coalesce(F.expr("try_url_decode(path)"), F.col("path"))
+    at = F.instr(decoded, base + "/")
+    return F.when(at > 0, F.substring(decoded, at + len(base), F.length(decoded))).otherwise(decoded)
 
 
-def quarantine(classified: DataFrame) -> DataFrame:
-    return classified.filter(F.col("reason").isNotNull()).select("path", "reason")
+def classify(files: DataFrame, root: str, settings: Settings = DEFAULTS) -> DataFrame:
+    """S03 + S04 per file: reason (NULL if good), kind, filename, elements."""
+    spark = files.sparkSession
+    last_key_wins(spark)
+    # element by element: the text of each, and its value (which knows its type)
+    parsed = (files.withColumn("texts", F.from_json("body", "array<string>"))
+              .withColumn("values", F.from_json("body", "array<variant>")))
+    whole = F.rtrim(F.regexp_replace("body", r"\s+$", "")).endswith("]")
+    starts = F.ltrim(F.regexp_replace(F.substring("body", 1, 1000), r"^[\s\x{FEFF}]+", "")).startswith("[")
+    reason = (F.when(starts & (F.col("texts").isNull() | ~whole), F.lit("malformed"))
+              .when(F.col("texts").isNull() | ~starts, F.when(F.expr("try_parse_json(body)").isNull(), F.lit("malformed"))
+                    .otherwise(F.lit("not_a_list")))
+              .when(F.size("texts") == 0, F.lit("empty")))
+    rel = below_root(spark, root)
+    return (parsed.withColumn("reason", reason)
+            .withColumn("kind", F.when(rel.contains(settings.consensus_marker), F.lit("consensus"))
+                        .otherwise(F.lit("regular")))
+            .withColumn("filename", F.element_at(F.split(rel, "/"), -1)).drop("body"))
 
 
-def explode_records(classified: DataFrame) -> DataFrame:
-    """(path, pos, kind, filename, rec) for object elements of good files."""
+def explode_elements(classified: DataFrame) -> DataFrame:
+    """(path, pos, kind, filename, rec, v, bad) for every element of good files.
+    ``bad``: why the element is no usable record, or NULL. Where the values of a
+    file could not be had at once (one record over the VARIANT limit), each
+    element is parsed from its text."""
+    values = F.coalesce("values", F.transform("texts", lambda t: F.lit(None).cast("variant")))
     good = classified.filter(F.col("reason").isNull())
-    elems = F.arrays_zip(
-        F.from_json("body", "array<string>").alias("rec"),
-        F.expr("transform(try_cast(try_parse_json(body) AS array<variant>), v -> schema_of_variant(v))")
-        .alias("typ"))
-    ex = good.select("path", "kind", "filename", F.posexplode(elems).alias("pos", "e"))
-    return (ex.filter(F.col("e.typ").startswith("OBJECT"))
-            .select("path", "pos", "kind", "filename", F.col("e.rec").alias("rec")))
+    ex = (good.withColumn("many", F.col("values").isNull())
+          .select("path", "kind", "filename", "many",
+                  F.posexplode(F.arrays_zip(F.col("texts").alias("t"), values.alias("v"))).alias("pos", "e"))
+          .select("path", "kind", "filename", "pos", F.col("e.t").alias("rec"),
+                  F.when(F.col("many"), F.expr("try_parse_json(e.t)")).otherwise(F.col("e.v")).alias("v"), "many"))
+    kind = F.schema_of_variant("v")
+    bad = (F.when(F.col("rec").isNull(), F.lit("not_an_object"))
+           .when(F.col("v").isNull(), F.when(F.col("many") & F.col("rec").startswith("{"), F.lit("unparsable"))
+                 .otherwise(F.lit("not_an_object")))
+           .when(~kind.startswith("OBJECT"), F.lit("not_an_object")))
+    return ex.withColumn("bad", bad).drop("many")
+
+
+def all_records(spark: SparkSession, files: DataFrame, root: str, settings: Settings = DEFAULTS
+                ) -> tuple[DataFrame, DataFrame]:
+    """(classified files, every element with text, label_raw, label and bad)."""
+    classified = classify(files, root, settings)
+    recs = extract_records(explode_elements(classified), "rec", "v")
+    bad = F.coalesce("bad", F.when(F.col("label_raw").isNotNull() & F.col("label").isNull(),
+                                   F.lit("label_not_integer")))
+    recs = recs.withColumn("bad", bad).select(
+        F.sha2(F.concat_ws(":", "path", F.col("pos").cast("string")), 256).alias("doc_id"),
+        F.struct("path", "pos").alias("seq"),
+        "filename", "kind", "text", "label_raw", "label", "path", "pos", "bad")
+    return classified, recs
+
+
+def usable(recs: DataFrame) -> DataFrame:
+    """Records that are objects. One whose label is no integer stays: it has a vote,
+    as the vote is on the raw label."""
+    return recs.filter(F.col("bad").isNull() | (F.col("bad") == "label_not_integer")).drop("bad")
+
+
+def quarantine(classified: DataFrame, recs: DataFrame) -> DataFrame:
+    """(path, pos, reason, detail); pos is NULL for whole files."""
+    none = F.lit(None)
+    whole = classified.filter(F.col("reason").isNotNull()).select(
+        "path", none.cast("int").alias("pos"), "reason", none.cast("string").alias("detail"))
+    single = recs.filter(F.col("bad").isNotNull()).select(
+        "path", "pos", F.col("bad").alias("reason"), F.col("label_raw").alias("detail"))
+    return whole.unionByName(single)
 
 
 def read_annotations(spark: SparkSession, root: str, settings: Settings = DEFAULTS
                      ) -> tuple[DataFrame, DataFrame]:
     """(records, quarantine). Records: doc_id (sha2 of path:pos), seq (path,
-    pos), filename, kind, text, label - ready for ``plans.dataset``."""
-    classified = classify(read_files(spark, root), settings)
-    recs = extract_records(explode_records(classified))
-    recs = recs.select(
-        F.sha2(F.concat_ws(":", "path", F.col("pos").cast("string")), 256).alias("doc_id"),
-        F.struct("path", "pos").alias("seq"),
-        "filename", "kind", "text", "label", "path", "pos")
-    return recs, quarantine(classified)
+    pos), filename, kind, text, label_raw, label - ready for ``plans.dataset``."""
+    classified, recs = all_records(spark, read_files(spark, root, settings), root, settings)
+    return usable(recs), quarantine(classified, recs)

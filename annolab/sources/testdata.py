@@ -11,6 +11,8 @@ them:
 * ``histories`` - events as training histories per user_id (epoch = order of
   event_id, val_acc = value).
 * ``ordinal_embeddings`` - embeddings with ``label = floor(label/2) + 1``.
+* ``signal_embeddings`` - embeddings with a label that the vector decides: the
+  number of thresholds below the sum of its first two components, plus 1.
 """
 
 from __future__ import annotations
@@ -28,10 +30,11 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 CONSENSUS_SOURCES = ("src0", "src1", "src2", "src3")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
-    """A given table; a narrow scan is spread over all cores (session.spread)."""
+def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
+    """A given table; ``heavy``: for CPU-heavy work per row, a narrow scan is dealt
+    out to all cores (session.spread)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_rows else df
+    return spread(df) if heavy else df
 
 
 def label_expr(quality: str = "quality", toxic: str = "toxic"):
@@ -52,9 +55,9 @@ def annotated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "text", "label"))
 
 
-def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+def corpus(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """Labelled table (F2): doc_id, filename, text, label, n_chars."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text", "n_chars")
+    docs = table(spark, sf_dir, "documents", heavy).select("doc_id", "source", "text", "n_chars")
     labels = table(spark, sf_dir, "labels").select("doc_id", label_expr().alias("label"))
     return (docs.join(labels, "doc_id")
             .select("doc_id", F.col("source").alias("filename"), "text", "label", "n_chars"))
@@ -73,3 +76,14 @@ def ordinal_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("vec_id",
                     F.col("embedding").cast("array<double>").alias("embedding"),
                     (F.floor(F.col("label") / 2) + 1).cast("int").alias("label"))
+
+
+SIGNAL_THRESHOLDS = (-0.2, -0.06, 0.06, 0.2)
+
+
+def signal_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, embedding array<double>, label 1..5 that a model can learn."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    s = F.get("embedding", 0) + F.get("embedding", 1)
+    above = sum((F.when(s > t, 1).otherwise(0) for t in SIGNAL_THRESHOLDS), F.lit(1))
+    return e.withColumn("label", above.cast("int"))

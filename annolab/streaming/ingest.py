@@ -13,20 +13,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annolab.config import DEFAULTS, Settings
-from annolab.functions.extract import extract_records
-from annolab.sources.annotations import classify, explode_records
+from annolab.sources.annotations import all_records, quarantine, usable
+
+
+def stream_files(spark: SparkSession, root: str, max_files_per_trigger: int = 1000) -> DataFrame:
+    return (spark.readStream.format("text").option("wholetext", True)
+            .option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+            .option("maxFilesPerTrigger", max_files_per_trigger).load(root)
+            .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body")))
 
 
 def stream_records(spark: SparkSession, root: str, settings: Settings = DEFAULTS,
                    max_files_per_trigger: int = 1000) -> DataFrame:
-    files = (spark.readStream.format("text").option("wholetext", True)
-             .option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
-             .option("maxFilesPerTrigger", max_files_per_trigger).load(root)
-             .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body")))
-    recs = extract_records(explode_records(classify(files, settings)))
-    return recs.select(
-        F.sha2(F.concat_ws(":", "path", F.col("pos").cast("string")), 256).alias("doc_id"),
-        F.struct("path", "pos").alias("seq"), "filename", "kind", "text", "label", "path", "pos")
+    return usable(all_records(spark, stream_files(spark, root, max_files_per_trigger), root, settings)[1])
+
+
+def stream_quarantine(spark: SparkSession, root: str, settings: Settings = DEFAULTS,
+                      max_files_per_trigger: int = 1000) -> DataFrame:
+    """The quarantine rows of the same files."""
+    return quarantine(*all_records(spark, stream_files(spark, root, max_files_per_trigger), root, settings))
 
 
 def start_ingest(spark: SparkSession, root: str, out_path: str, checkpoint: str,
