@@ -15,11 +15,7 @@ order. A key that occurs in a third of all rows is sent once per chunk.
 
 from __future__ import annotations
 
-import io
-import os
-import tempfile
 import uuid
-import zipfile
 
 import numpy as np
 import pyarrow as pa
@@ -30,44 +26,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from annolab.session import shared_folder
+from annolab.session import ship_package as ship
+
 CHUNK_BYTES = 4 << 20      # text bytes per chunk (a longer text is a chunk of its own)
 CHUNK_DOCS = 8192
 BUCKET_BYTES = 4 << 20     # text bytes per exchange bucket
 U = np.uint64
 
-_shipped: set[str] = set()
-
-
-# ------------------------------------------------------------------ session
-def ship(spark: SparkSession) -> None:
-    """Make this package importable on the workers, wherever the driver started."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="annolab-ship-"), "annolab_ship.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, names in os.walk(root):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
-    sc.addPyFile(path)
-    _shipped.add(sc.applicationId)
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else the
-    checkpoint folder already set, else (local master only) one of our own."""
-    conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not conf:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        conf = tempfile.mkdtemp(prefix="annolab-llm-")
-        spark.conf.set("spark.checkpoint.dir", conf)
-    return conf.rstrip("/")
-
-
 class Scratch:
     """Written intermediate tables of one operator run; ``close`` removes them."""
 
@@ -94,18 +60,24 @@ class Scratch:
         return self.spark.table(t)
 
     def result(self, df: DataFrame) -> DataFrame:
-        """Write the result, drop everything else, return the written result."""
+        """Write the result, drop everything else, return the written result (deleted
+        when the driver ends)."""
         path = f"{self.root}-result"
         df.write.mode("overwrite").parquet(path)
         self.close()
+        fs, at = self.place(path)
+        fs.deleteOnExit(at)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def place(self, path: str):
+        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), at
+
     def close(self) -> None:
         for t in self.tables:
             self.spark.sql(f"DROP TABLE IF EXISTS {t}")
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        fs, at = self.place(self.root)
+        fs.delete(at, True)
 
 
 # ------------------------------------------------------------------ Arrow rows
@@ -144,10 +116,10 @@ _built: dict = {}
 
 
 def once(shared, build):
-    """What ``build`` makes of a broadcast value, made once per worker process."""
+    """What ``build`` makes of a broadcast value, made once per worker process (the last
+    one is kept)."""
     if shared not in _built:
-        while len(_built) >= 4:
-            _built.pop(next(iter(_built)))
+        _built.clear()
         _built[shared] = build(shared.value)
     return _built[shared]
 
@@ -355,10 +327,3 @@ def first_in_group(inverse: np.ndarray, values: np.ndarray, n: int) -> np.ndarra
     out = np.zeros(n, dtype=values.dtype)
     out[inverse[::-1]] = values[::-1]
     return out
-
-
-def write_bytes(parts) -> bytes:
-    out = io.BytesIO()
-    for p in parts:
-        out.write(p)
-    return out.getvalue()

@@ -148,7 +148,7 @@ def judged(kind: str, spans: Column, base: bool) -> Column:
                  "phone": n.between(10, 13)}[kind]
         bare = t if kind != "card" else digits(t)
         return F.struct(
-            s["start"].alias("start"), s["end"].alias("end"), t.alias("text"),
+            F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), t.alias("text"),
             F.lit(1 if base else 0).alias("strict"),
             F.when(bare.rlike(LISTED[kind]), 1).when(F.lit(kind in ("email", "card")), 0).alias("listed"),
             F.when(before.rlike(CUES[kind]), 1).when(before.rlike(AGAINST), 0).alias("context"),
@@ -196,11 +196,8 @@ def expectation_maximisation(counts: dict, rounds: int = 50) -> tuple[dict, dict
 
 def learn(judged_docs: DataFrame) -> dict:
     """Per kind the classifier's log odds: {kind: (bias, {(feature, value): weight})}."""
-    rows = None
-    for kind in KINDS:
-        one = judged_docs.select(F.lit(kind).alias("kind"), F.explode(f"__{kind}_all").alias("s")).select(
-            "kind", *[F.col(f"s.{c}").alias(c) for c in (*LABELERS, *FEATURES)])
-        rows = one if rows is None else rows.unionByName(one)
+    rows = judged_docs.select(F.explode(F.concat(*[F.col(f"__{kind}_all") for kind in KINDS])).alias("s")).select(
+        "s.kind", *[F.col(f"s.{c}").alias(c) for c in (*LABELERS, *FEATURES)])
     # bounded by the numbers of vote patterns and feature values
     counted = rows.groupBy("kind", *LABELERS, *FEATURES).agg(F.count("*").alias("n")).collect()
     model = {}

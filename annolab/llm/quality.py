@@ -1,8 +1,8 @@
 """Quality classifier: ordinal cumulative-link regression on graded ratings.
 
 A text becomes a set of hashed features: its words (lower-cased, outer
-punctuation removed), the shape of each word (case, outer punctuation) and steps
-of two shares (words equal to the one before, words with a run of punctuation).
+punctuation removed) and their beginnings, the shape of each word (case, outer
+punctuation) and steps of two shares (words equal to the one before, words with a run of punctuation).
 One weight per bucket, shared by all grades, gives a score eta; with ordered
 thresholds theta_0 < theta_1 < ... P(grade <= k) = sigmoid(theta_k - eta). From
 these follow the expected grade and the tail probability P(grade >= cutoff) by
@@ -37,6 +37,7 @@ CUTOFF = 2
 KEEP_AT = 0.5
 L2 = 0.3
 ITERATIONS = 80
+PREFIXES = (4, 5)         # characters of a word's beginning that are features too
 OUTER = bytes(b for b in range(256) if b < 128 and not chr(b).isalnum())
 
 
@@ -56,7 +57,9 @@ class Features:
             tail = w[len(w.rstrip(OUTER)):] if core else w
             case = b"U" if len(core) > 1 and core == core.upper() != core.lower() else b"l"
             runs = len(tail) > 1
-            got = (self.bucket(b"w" + core.lower()), self.bucket(b"s" + case + tail[:4]), runs)
+            name = core.decode("utf-8", "replace").lower()
+            begins = [self.bucket(b"p" + name[:n].encode()) for n in PREFIXES if len(name) > n]
+            got = ((self.bucket(b"w" + name.encode()), *begins, self.bucket(b"s" + case + tail[:4])), runs)
             if len(self.seen) >= 300_000:
                 self.seen.clear()
             self.seen[w] = got
@@ -66,9 +69,8 @@ class Features:
         words = text.split() if text else []
         out, runs = set(), 0
         for w in set(words):
-            a, b, r = self.word(w)
-            out.add(a)
-            out.add(b)
+            buckets, r = self.word(w)
+            out.update(buckets)
             runs += r
         if words:
             same = sum(map(bytes.__eq__, words, words[1:])) / len(words)

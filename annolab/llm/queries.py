@@ -1,5 +1,6 @@
 """The dealt operators as queries: ``opN_name(spark, sf_dir)`` applies an operator,
-with its default parameters, to the whole of its tables."""
+with its default parameters, to the whole of its tables. Where DuckDB SQL can say the same,
+it stands beside the query; the others are tested in tests/llm."""
 
 from __future__ import annotations
 
@@ -15,9 +16,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(sql: str | None = None):
+    """Register a query, with DuckDB SQL for the same rows where there is any."""
+    def register(fn):
+        QUERIES[fn.__name__] = fn
+        if sql:
+            ORACLES[fn.__name__] = sql
+        return fn
+    return register
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,25 +34,40 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
-@query
+@query(r"""WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+bw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bp AS (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i, least(len(w), 10) AS k FROM bw WHERE len(w) > 0),
+pat AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS p FROM bp),
+sizes AS (SELECT DISTINCT k FROM pat),
+win AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS p
+        FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM dw CROSS JOIN sizes WHERE len(w) >= k)),
+hit AS (SELECT win.doc_id, win.k, win.i, pat.item_id FROM win JOIN pat ON win.k = pat.k AND win.p = pat.p),
+pos AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM hit) GROUP BY 1),
+its AS (SELECT doc_id, count(*) AS n, string_agg(s, ',' ORDER BY s) AS ids
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY 1)
+SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(its.n, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN pos ON dw.doc_id = pos.doc_id LEFT JOIN its ON dw.doc_id = its.doc_id""")
 def op1_decontaminate(spark, sf_dir):
     return decontaminate.digest(decontaminate.find_contamination(
         documents(spark, sf_dir), table(spark, sf_dir, "benchmark")))
 
 
-@query
+@query()
 def op2_pii(spark, sf_dir):
     return pii.digest(pii.find(documents(spark, sf_dir)))
 
 
-@query
+@query()
 def op3_quality(spark, sf_dir):
     ratings = table(spark, sf_dir, "labels").select("doc_id", quality.grade_of().alias("grade"))
     docs = documents(spark, sf_dir)
     return quality.score(docs, quality.fit(docs, ratings)).select("doc_id", "expected_grade", "p_tail", "keep")
 
 
-@query
+@query()
 def op4_pieces(spark, sf_dir):
     """ids_sha256: of the ids as comma-joined text; round_trip: decoding gives the text."""
     model = pieces.read_model()
@@ -57,12 +78,12 @@ def op4_pieces(spark, sf_dir):
         F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 
 
-@query
+@query()
 def op5_hmm(spark, sf_dir):
     return hmm.score(documents(spark, sf_dir))
 
 
-@query
+@query()
 def op6_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     train = docs.where(common.crc_mod("doc_id", 4) != 2).select("doc_id", "text", "lang")
@@ -71,21 +92,58 @@ def op6_language(spark, sf_dir):
                       "lang_pred", "score", "rejected")
 
 
-@query
+@query(r"""WITH dw AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS p
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM dw WHERE len(w) >= 13)),
+first AS (SELECT p, min(doc_id) AS d FROM win GROUP BY p),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j FROM win JOIN first ON win.p = first.p WHERE doc_id > d),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS j FROM dw),
+kept AS (SELECT word.doc_id, string_agg(x, ' ' ORDER BY word.j) AS t, count(*) AS n FROM word LEFT JOIN gone
+         ON word.doc_id = gone.doc_id AND word.j = gone.j WHERE gone.j IS NULL GROUP BY 1)
+SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM dw LEFT JOIN kept ON dw.doc_id = kept.doc_id""")
 def op7_debruijn(spark, sf_dir):
     return debruijn.dedup(documents(spark, sf_dir), finish=debruijn.digest)
 
 
-@query
+@query(r"""WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, i, substring(h, 2 * i + 1, 100) AS p
+        FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d WHERE length(h) >= 100)),
+first AS (SELECT p, min(doc_id) AS f FROM win GROUP BY p),
+hit AS (SELECT win.doc_id, i FROM win JOIN first ON win.p = first.p WHERE win.doc_id > f),
+byte AS (SELECT doc_id, substring(h, 2 * i + 1, 2) AS x, i FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS i FROM d)),
+seen AS (SELECT byte.*, max(hit.i) OVER (PARTITION BY byte.doc_id ORDER BY byte.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) IS NOT NULL AS g
+         FROM byte LEFT JOIN hit ON byte.doc_id = hit.doc_id AND byte.i = hit.i),
+runs AS (SELECT *, g AND NOT coalesce(lag(g) OVER (PARTITION BY doc_id ORDER BY i), FALSE) AS s FROM seen),
+agg AS (SELECT doc_id, count(*) AS n, sum(g::INT) AS r, sum(s::INT) AS spans,
+               coalesce(string_agg(x, '' ORDER BY i) FILTER (NOT g), '') AS k FROM runs GROUP BY 1)
+SELECT d.doc_id, coalesce(n, 0) AS n_bytes, CAST(coalesce(r, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(k, ''))) AS kept_sha256
+FROM d LEFT JOIN agg ON d.doc_id = agg.doc_id""")
 def op8_parsing(spark, sf_dir):
     return parsing.dedup(documents(spark, sf_dir), finish=parsing.digest)
 
 
-@query
+@query(r"""WITH RECURSIVE dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM dw WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, b FROM reach JOIN both_ways ON reach.r = a),
+comp AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY 1)
+SELECT comp.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, comp.doc_id = component_id AS kept
+FROM comp LEFT JOIN n ON n.doc_id = comp.doc_id""")
 def op9_minhash(spark, sf_dir):
     return minhash.near_duplicates(documents(spark, sf_dir))
 
 
-@query
+@query(r"""WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
 def op10_topk(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
