@@ -7,7 +7,8 @@ length`` positions, and commits ids as soon as the backpointer paths of all
 surviving positions run through one boundary. Between two characters that no
 piece holds side by side every path has a boundary; the text is first cut at
 those that are quick to see (before a run of spaces), and such segments are
-remembered, so frequent words are searched once per worker.
+remembered, so frequent words are searched once per worker; the new segments of a
+batch are searched together, one numpy lane each, position by position.
 
 A character without a piece becomes its UTF-8 bytes' pieces (cost: 10 below the
 lowest score, as in the unigram model); a literal U+2581 is written by bytes, so
@@ -33,7 +34,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from annolab.llm.common import annotate, once, ship
+from annolab.llm.common import P1, U, annotate, once, ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -41,6 +42,51 @@ CACHE = 400_000            # remembered segments per worker process
 SEGMENT = re.compile(" +[^ ]*|[^ ]+")
 
 
+class Prefixes:
+    """Hash table of all beginnings of the pieces: which are pieces, their ids and scores."""
+
+    def __init__(self, ids: dict, score: dict):
+        names = sorted({p[:k] for p in ids for k in range(1, len(p) + 1)})
+        self.names = names
+        h = np.zeros(len(names), dtype=U)
+        for i, n in enumerate(names):
+            v = 0
+            for c in n:
+                v = (v * int(P1) + ord(c)) & 0xFFFFFFFFFFFFFFFF
+            h[i] = v
+        self.id = np.array([ids.get(n, -1) for n in names], dtype=np.int32)
+        self.score = np.array([score.get(n, -np.inf) for n in names])
+        # open addressing in rounds: whoever finds its slot taken moves on with the next multiplier
+        self.bits = int(np.ceil(np.log2(len(names) + 1))) + 2
+        self.rounds, left = [], np.arange(len(names))
+        for m in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3,
+                  0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165):
+            slot = (h[left] * U(m)) >> U(64 - self.bits)
+            keys, where = np.zeros(1 << self.bits, dtype=U), np.full(1 << self.bits, -1, dtype=np.int32)
+            _, first = np.unique(slot, return_index=True)
+            keys[slot[first]], where[slot[first]] = h[left[first]], left[first]
+            self.rounds.append((U(m), keys, where))
+            left = np.delete(left, first)
+            if not len(left):
+                break
+        if len(left) or len(np.unique(h)) < len(h):
+            raise ValueError("the beginnings of the pieces do not fit the table")
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Numbers of the beginnings with these hashes, -1 for none."""
+        out = np.full(len(h), -1, dtype=np.int32)
+        todo = np.arange(len(h))
+        for m, keys, where in self.rounds:
+            slot = (h[todo] * m) >> U(64 - self.bits)
+            at = where[slot]
+            hit = (keys[slot] == h[todo]) & (at >= 0)
+            out[todo[hit]] = at[hit]
+            todo = todo[~hit & (at >= 0)]              # an empty slot ends the search
+            if not len(todo):
+                break
+        return out
+
+
 class Pieces:
     """Vocabulary of a model file (its bytes) with encoder and decoder."""
 
@@ -61,6 +107,7 @@ class Pieces:
         self.unknown = min(self.score.values(), default=0.0) - 10.0
         self.can_cut = not any(" " in p.lstrip(" ") for p in self.ids)
         self.unk = sp.unk_id()
+        self.prefixes = Prefixes(self.ids, self.score)
         self.seen: dict = {}
 
     def segment(self, text: str) -> list:
@@ -114,23 +161,69 @@ class Pieces:
             out += [i] if i is not None else [self.byte.get(x, self.unk) for x in text[a:b].encode()]
         return out
 
-    def remembered(self, segment: str) -> bytes:
-        got = self.seen.get(segment)
-        if got is None:
-            # a literal U+2581 has no key in ids, so it goes to bytes
-            got = np.array(self.segment(segment), dtype=np.int32).tobytes()
-            if len(segment) <= 64:
-                if len(self.seen) >= CACHE:
-                    self.seen.clear()
-                self.seen[segment] = got
-        return got
+    def together(self, segments: list) -> list:
+        """Ids (as int32 bytes) of equally long segments without literal U+2581, searched
+        at once; None where a character has no piece."""
+        n, w = len(segments[0]), len(segments)
+        chars = np.frombuffer("".join(segments).encode("utf-32-le"), dtype=np.uint32).reshape(w, n).astype(U)
+        best = np.full((n + 1, w), -np.inf)
+        best[0] = 0.0
+        start, piece = np.zeros((n + 1, w), dtype=np.int32), np.full((n + 1, w), -1, dtype=np.int32)
+        for s in range(n):
+            lane, h = np.arange(w), np.zeros(w, dtype=U)
+            for end in range(s + 1, min(n, s + self.longest) + 1):
+                h = h * P1 + chars[lane, end - 1]
+                at = self.prefixes.find(h)
+                on = at >= 0                           # some piece begins like this
+                lane, h, at = lane[on], h[on], at[on]
+                if not len(lane):
+                    break
+                total = best[s, lane] + self.prefixes.score[at]
+                better = total > best[end, lane]
+                up = lane[better]
+                best[end, up], start[end, up], piece[end, up] = total[better], s, self.prefixes.id[at[better]]
+        steps, at, k = np.zeros((w, n), dtype=np.int32), np.full(w, n), np.zeros(w, dtype=np.int64)
+        lane = np.arange(w)
+        known = np.isfinite(best[n])
+        lane = lane[known]
+        while len(lane):
+            steps[lane, n - 1 - k[lane]] = piece[at[lane], lane]
+            at[lane], k[lane] = start[at[lane], lane], k[lane] + 1
+            lane = lane[at[lane] > 0]
+        return [steps[i, n - k[i]:].tobytes() if ok else None for i, ok in enumerate(known.tolist())]
+
+    def learn(self, segments) -> None:
+        """Search the segments that are not remembered yet."""
+        new = [x for x in segments if x not in self.seen]
+        if len(self.seen) + len(new) > CACHE:
+            self.seen.clear()
+            new = list(segments)
+        by_length: dict = {}
+        for x in new:
+            if len(x) <= 40 and SPACE not in x:
+                by_length.setdefault(len(x), []).append(x)
+            else:
+                self.seen[x] = np.array(self.segment(x), dtype=np.int32).tobytes()
+        for group in by_length.values():
+            for i in range(0, len(group), 8192):
+                part = group[i:i + 8192]
+                for x, got in zip(part, self.together(part)):
+                    # a character without a piece: the search that falls back to bytes
+                    self.seen[x] = np.array(self.segment(x), dtype=np.int32).tobytes() if got is None else got
+
+    def encode_many(self, texts: list) -> list:
+        """Id arrays of texts (None for None)."""
+        out: list = []
+        for at in range(0, len(texts), 256):
+            cut = [None if not t else SEGMENT.findall(" " + t) if self.can_cut else [" " + t] for t in texts[at:at + 256]]
+            self.learn(dict.fromkeys(x for parts in cut if parts for x in parts))
+            get = self.seen.__getitem__
+            out += [np.frombuffer(b"".join(map(get, parts)), dtype=np.int32) if parts else
+                    None if t is None else np.zeros(0, dtype=np.int32) for t, parts in zip(texts[at:at + 256], cut)]
+        return out
 
     def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, dtype=np.int32)
-        text = " " + text
-        parts = SEGMENT.findall(text) if self.can_cut else [text]
-        return np.frombuffer(b"".join(map(self.remembered, parts)), dtype=np.int32)
+        return self.encode_many([text])[0]
 
     def decode(self, ids) -> bytes:
         out = b"".join(map(self.text.__getitem__, ids))
@@ -150,7 +243,7 @@ def encode(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
         vocabulary = once(shared, Pieces)
 
         def work(texts):
-            got = [None if t is None else vocabulary.encode(t.decode()) for t in texts]
+            got = vocabulary.encode_many([None if t is None else t.decode() for t in texts])
             lens = [0 if g is None else len(g) for g in got]
             offsets = np.zeros(len(got) + 1, dtype=np.int32)
             np.cumsum(lens, out=offsets[1:])

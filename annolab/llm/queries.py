@@ -110,16 +110,18 @@ def op7_debruijn(spark, sf_dir):
 win AS (SELECT doc_id, i, substring(h, 2 * i + 1, 100) AS p
         FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d WHERE length(h) >= 100)),
 first AS (SELECT p, min(doc_id) AS f FROM win GROUP BY p),
-hit AS (SELECT win.doc_id, i FROM win JOIN first ON win.p = first.p WHERE win.doc_id > f),
-byte AS (SELECT doc_id, substring(h, 2 * i + 1, 2) AS x, i FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS i FROM d)),
-seen AS (SELECT byte.*, max(hit.i) OVER (PARTITION BY byte.doc_id ORDER BY byte.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) IS NOT NULL AS g
-         FROM byte LEFT JOIN hit ON byte.doc_id = hit.doc_id AND byte.i = hit.i),
-runs AS (SELECT *, g AND NOT coalesce(lag(g) OVER (PARTITION BY doc_id ORDER BY i), FALSE) AS s FROM seen),
-agg AS (SELECT doc_id, count(*) AS n, sum(g::INT) AS r, sum(s::INT) AS spans,
-               coalesce(string_agg(x, '' ORDER BY i) FILTER (NOT g), '') AS k FROM runs GROUP BY 1)
-SELECT d.doc_id, coalesce(n, 0) AS n_bytes, CAST(coalesce(r, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
-       sha256(unhex(coalesce(k, ''))) AS kept_sha256
-FROM d LEFT JOIN agg ON d.doc_id = agg.doc_id""")
+hit AS (SELECT win.doc_id, i, lag(i) OVER (PARTITION BY win.doc_id ORDER BY i) AS before
+        FROM win JOIN first ON win.p = first.p WHERE win.doc_id > f),
+part AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 50 THEN 1 ELSE 0 END)
+                OVER (PARTITION BY doc_id ORDER BY i) AS g FROM hit),
+run AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM part GROUP BY doc_id, g),
+gap AS (SELECT run.*, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS pb FROM run),
+kept AS (SELECT d.doc_id, string_agg(substring(h, 2 * pb + 1, 2 * (a - pb)), '' ORDER BY a)
+                || substring(any_value(h), 2 * max(b) + 1) AS k, sum(b - a) AS r, count(*) AS spans
+         FROM gap JOIN d ON d.doc_id = gap.doc_id GROUP BY d.doc_id)
+SELECT d.doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(r, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id""")
 def op8_parsing(spark, sf_dir):
     return parsing.dedup(documents(spark, sf_dir), finish=parsing.digest)
 
