@@ -37,6 +37,7 @@ CUTOFF = 2
 KEEP_AT = 0.5
 L2 = 0.3
 ITERATIONS = 80
+ROWS = 1000                # of a block of the fit
 PREFIXES = (4, 5)         # characters of a word's beginning that are features too
 OUTER = bytes(b for b in range(256) if b < 128 and not chr(b).isalnum())
 
@@ -100,13 +101,20 @@ def loss_and_gradient(params, idx, starts, lens, y, grades, buckets, l2):
     w, first, gaps = params[:buckets], params[buckets], np.exp(np.clip(params[buckets + 1:], -20, 20))
     theta = np.concatenate([[-np.inf], first + np.concatenate([[0.0], np.cumsum(gaps)]), [np.inf]])
     eta = np.zeros(len(y))
-    some = lens > 0
-    eta[some] = np.add.reduceat(w[idx], starts[some])
+    blocks = [(a, min(a + ROWS, len(y))) for a in range(0, len(y), ROWS)]
+    for a, b in blocks:                                  # block by block: small temporaries
+        some = a + np.flatnonzero(lens[a:b] > 0)
+        if len(some):
+            first, last = starts[some[0]], starts[some[-1]] + lens[some[-1]]
+            eta[some] = np.add.reduceat(w[idx[first:last]], starts[some] - first)
     up, lo = sigmoid(theta[y + 1] - eta), sigmoid(theta[y] - eta)
     p = np.maximum(up - lo, 1e-12)
     d_eta = (1.0 - up - lo) / len(y)
     grad = np.empty_like(params)
-    grad[:buckets] = np.bincount(idx, weights=np.repeat(d_eta, lens), minlength=buckets)
+    grad[:buckets] = 0.0
+    for a, b in blocks:
+        part = slice(starts[a], starts[b - 1] + lens[b - 1])
+        grad[:buckets] += np.bincount(idx[part], weights=np.repeat(d_eta[a:b], lens[a:b]), minlength=buckets)
     d_theta = np.zeros(grades + 1)
     np.add.at(d_theta, y + 1, -up * (1 - up) / p / len(y))
     np.add.at(d_theta, y, lo * (1 - lo) / p / len(y))
@@ -178,13 +186,13 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int = GRADES, max_rows: int
     rows = (rated.select("text", "grade", F.xxhash64("doc_id", "text").alias("h"))
             .mapInArrow(hashed, "f binary, grade int, h long").toArrow())
     order = np.lexsort((rows.column("grade").to_numpy(), rows.column("h").to_numpy()))
-    sets = rows.column("f").to_pylist()
-    sets = [np.frombuffer(sets[i], dtype=np.int32) for i in order]
     y = rows.column("grade").to_numpy()[order].astype(np.int64)
     if len(y) == 0:
         return None
-    lens = np.array([len(s) for s in sets])
-    idx = np.concatenate(sets)
+    sets = rows.column("f").to_pylist()
+    lens = np.array([len(sets[i]) // 4 for i in order])
+    idx = np.frombuffer(b"".join(sets[i] for i in order), dtype=np.int32)
+    del rows, sets
     starts = np.cumsum(lens) - lens
     x = np.zeros(buckets + grades - 1)
     below = np.clip([(y <= k).mean() for k in range(grades - 1)], 0.01, 0.99)
