@@ -17,7 +17,7 @@ two or more documents matter:
    of a path keeps it, in the others its words are removed.
 
 What travels: 5 bytes per distinct edge and chunk, 9 per node of repeated edges,
-one row per path occurrence. Hashes only propose (a false match leaves a path
+one row per distinct path and chunk. Hashes only propose (a false match leaves a path
 with one source); hot passages are posted once per chunk.
 
 Defined cases: NULL, empty and short texts have no window and lose nothing; a
@@ -39,7 +39,7 @@ from annolab.llm import common as C
 from annolab.llm.common import U
 
 K = 13
-PATHS = "chunk long, doc int, start int, n int, doc_id long, digest binary"
+PATHS = "chunk long, n int, least long, most long, digest binary, places binary"
 RESULT = ("doc_id long, n_words long, n_removed long, kept binary, spans binary")
 
 
@@ -155,14 +155,19 @@ def find_paths(k: int):
             w = Windows(chunk, k)
             w.runs(C.reply_bits(row["rep"]))
             cut = C.reply_bits(row["cut"])
-            rows = [(d, s, n, hashlib.blake2b(b" ".join(w.words[d][s:s + n]), digest_size=16).digest())
-                    for d, s, n in w.paths(cut if len(cut) else np.zeros(len(w.nodes), dtype=bool))]
-            ids = [int(chunk.ids[r[0]]) if chunk.known[r[0]] else None for r in rows]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row["chunk"]] * len(rows), pa.int64()),
-                 *[pa.array([r[i] for r in rows], pa.int32()) for i in range(3)],
-                 pa.array(ids, pa.int64()), pa.array([r[3] for r in rows], pa.binary())],
-                names=["chunk", "doc", "start", "n", "doc_id", "digest"])
+            found: dict = {}
+            for d, s, n in w.paths(cut if len(cut) else np.zeros(len(w.nodes), dtype=bool)):
+                key = hashlib.blake2b(b" ".join(w.words[d][s:s + n]), digest_size=16).digest(), n
+                found.setdefault(key, []).append((d, s))
+            rows = []
+            for (digest, n), places in found.items():
+                ids = [int(chunk.ids[d]) for d, _ in places if chunk.known[d]]
+                if ids:
+                    rows.append((row["chunk"], n, min(ids), max(ids), digest, np.array(places, dtype=np.int32).tobytes()))
+            cols = list(zip(*rows)) or [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (
+                pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
+                names=["chunk", "n", "least", "most", "digest", "places"])
     return run
 
 
@@ -172,7 +177,9 @@ def cut_out(batches):
         chunk = C.Chunk(row)
         spans: dict = {}
         for r in row["spans"] or []:
-            spans.setdefault(r["doc"], []).append((r["start"], r["start"] + r["n"]))
+            for d, start in np.frombuffer(r["places"], dtype=np.int32).reshape(-1, 2).tolist():
+                if chunk.known[d] and chunk.ids[d] > r["first_id"]:
+                    spans.setdefault(d, []).append((start, start + r["n"]))
         out = []
         for d, text in enumerate(chunk.texts()):
             words = text.split()
@@ -199,7 +206,8 @@ def cut_out(batches):
 
 
 def repeated_paths(s: C.Scratch, chunks: DataFrame, k: int) -> DataFrame:
-    """The path occurrences (PATHS) of edges that occur in two or more documents."""
+    """The paths (PATHS) of edges that occur in two or more documents: one row per chunk
+    and path, with its smallest and largest id and its places (document, first word)."""
     lb = C.bucket_bits(chunks)
     rep = s.table(C.exchange(chunks.mapInArrow(post_edges(k, lb), C.REQUEST), C.repeated), "repeated")
     known = chunks.join(rep, "chunk", "left")
@@ -215,9 +223,9 @@ def dedup(docs: DataFrame, k: int = K, finish=lambda df: df) -> DataFrame:
     s = C.Scratch(docs.sparkSession, "debruijn")
     chunks = C.chunk_table(s, docs)
     paths = repeated_paths(s, chunks, k)
-    first = paths.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
-    spans = (paths.join(first, "digest").where("doc_id > first_id").groupBy("chunk")
-             .agg(F.collect_list(F.struct("doc", "start", "n")).alias("spans")))
+    first = paths.groupBy("digest").agg(F.min("least").alias("first_id"))
+    spans = (paths.join(first, "digest").where("most > first_id").groupBy("chunk")
+             .agg(F.collect_list(F.struct("n", "first_id", "places")).alias("spans")))
     return s.result(finish(chunks.join(spans, "chunk", "left").mapInArrow(cut_out, RESULT)))
 
 
