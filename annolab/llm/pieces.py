@@ -6,7 +6,7 @@ It walks over the text once, keeping scores only for the last ``max piece
 length`` positions, and commits ids as soon as the backpointer paths of all
 surviving positions run through one boundary. Between two characters that no
 piece holds side by side every path has a boundary; the text is first cut at
-those that are quick to see (before a run of spaces), and such segments are
+those that are quick to see (before a run of spaces, around line ends), and such segments are
 remembered, so frequent words are searched once per worker; the new segments of a
 batch are searched together, one numpy lane each, position by position.
 
@@ -39,7 +39,7 @@ from annolab.llm.common import P1, U, annotate, once, ship
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 CACHE = 400_000            # remembered segments per worker process
-SEGMENT = re.compile(" +[^ ]*|[^ ]+")
+SEGMENT = re.compile(" +[^ \n]*|\n+|[^ \n]+")
 
 
 class Prefixes:
@@ -105,7 +105,7 @@ class Pieces:
                 self.text[i] = key.encode()
         self.longest = max(map(len, self.ids), default=1)
         self.unknown = min(self.score.values(), default=0.0) - 10.0
-        self.can_cut = not any(" " in p.lstrip(" ") for p in self.ids)
+        self.can_cut = not any(" " in p.lstrip(" ") or "\n" in p for p in self.ids)
         self.unk = sp.unk_id()
         self.prefixes = Prefixes(self.ids, self.score)
         self.seen: dict = {}
@@ -270,8 +270,10 @@ def decode(df: DataFrame, model: bytes, ids: str = "ids", out: str = "decoded")
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 part = batch.slice(k, 512)
-                texts = [None if x is None else vocabulary.decode(x).decode("utf-8", "replace")
-                         for x in part.column(at).to_pylist()]
+                column = part.column(at)
+                flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+                texts = [vocabulary.decode(flat[a:b].tolist()).decode("utf-8", "replace") if there else None
+                         for a, b, there in zip(ends, ends[1:], column.is_valid().to_pylist())]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=schema.names)
 
     return base.mapInArrow(run, schema)
