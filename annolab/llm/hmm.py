@@ -44,7 +44,7 @@ OWN = 1500                # words with a symbol of their own
 ENDINGS = 1024            # shared symbols
 HEAVY = 200_000           # words broadcast with their counts
 ITERATIONS = 5
-TOKENS = 1_000_000        # of a batch of lanes
+TOKENS = 400_000          # of a batch of lanes
 FLUSH = 300_000           # distinct words a task holds while counting
 SEQUENCES = ("row long, doc_id long, held_out boolean, train boolean, n_tokens long, n_known long, "
              "log_heavy double, log_inside double, symbols binary, tail array<binary>")
@@ -290,8 +290,10 @@ def train(sequences: DataFrame, vocabulary: Vocabulary, states: int = STATES,
     model = Model.initial(m, frequency, states)
     learned = sequences.where("train").select("symbols")
     for _ in range(iterations if vocabulary.ends else 0):
-        rows = (learned.mapInArrow(e_step(sc.broadcast(model)), "i long, v double")
+        shared = sc.broadcast(model)
+        rows = (learned.mapInArrow(e_step(shared), "i long, v double")
                 .groupBy("i").agg(F.sum("v").alias("v")).toArrow())
+        shared.unpersist()
         flat = np.zeros(states + states * states + states * m + 1)
         flat[rows.column("i").to_numpy()] = rows.column("v").to_numpy()
         start = flat[:states] + 1e-3
@@ -334,8 +336,8 @@ def score(docs: DataFrame, folds: int = 10, states: int = STATES, iterations: in
     tail = (rare.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + ADD)).alias("log_tail"),
         F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("known_tail")))
-    hmm = seqs.select("row", "symbols").mapInArrow(
-        forward_scores(spark.sparkContext.broadcast(model)), "row long, log_hmm double")
+    trained = spark.sparkContext.broadcast(model)
+    hmm = seqs.select("row", "symbols").mapInArrow(forward_scores(trained), "row long, log_hmm double")
     v = vocabulary
     per_token = float(np.log10(v.total + ADD * (v.distinct + 1)))
     log_end = float(np.log10(v.ends + ADD))
@@ -346,4 +348,7 @@ def score(docs: DataFrame, folds: int = 10, states: int = STATES, iterations: in
         F.lit(v.total).cast("long").alias("train_tokens"),
         (F.col("log_heavy") + tail_sum + log_end - F.col("n_tokens") * per_token).alias("base_score"),
         (F.col("log_hmm") + F.col("log_inside") + tail_sum).alias("score"))
-    return s.result(out)
+    result = s.result(out)
+    shared.unpersist()
+    trained.unpersist()
+    return result
