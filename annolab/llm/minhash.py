@@ -1,17 +1,19 @@
 """MinHash near-dedup by a signature-coordinate inverted join.
 
-A document's set are its distinct shingles of 3 words. Two documents are linked
-when 100 * intersection >= 85 * union of their full sets; the result is the
-smallest document reachable over links.
+A document's set are its distinct shingles of ``shingle`` words. Two documents are
+linked when 100 * intersection >= ``need`` * union of their full sets; the result is
+the smallest document reachable over links. The defaults, 3 words and 85, are op9's;
+the pipeline's stage adds the links of 5 words and 80.
 
 1. Documents with equal sets become one class (smallest id = representative).
 2. Signature: ``COORDINATES`` coordinates, each the minima under ``WIDTH``
    permutations taken together, so a coordinate agrees with probability J^3 and
-   texts that merely share a line rarely meet. Linked documents (J >= 0.85) agree
-   in fewer than ``MATCHES`` = 7 of 40 coordinates with probability below 1e-7.
+   texts that merely share a line rarely meet. ``matches_for`` gives the number of
+   coordinates asked for: linked documents agree in fewer with probability below
+   1e-7 (2.0e-9 with 7 of 40 at J = 0.85, 4.3e-8 with 5 of 40 at J = 0.8).
 3. Inverted join: representatives are posted under each (coordinate, value) of
-   the prefix of 40 - 7 + 1 coordinates (whoever agrees in 7 agrees in one of
-   these). Lists of one are dropped. Inside a list the agreeing coordinates are
+   the prefix of 40 - matches + 1 coordinates (whoever agrees in that many agrees
+   in one of these). Lists of one are dropped. Inside a list the agreeing coordinates are
    counted; a document that is already connected is skipped, so a list of n
    posts at most n - 1 pairs. Lists over ``LIST`` documents are not counted at
    all but joined as a star, which only makes step 4 look at more.
@@ -24,7 +26,7 @@ smallest document reachable over links.
    step a written table.
 
 Defined cases: NULL, empty and wordless texts have n_shingles 0 and are linked with
-nothing; fewer than 3 words are one shingle; a document with NULL id takes no part
+nothing; fewer words than a shingle has are one shingle; a document with NULL id takes no part
 (component NULL, kept); rows that share an id are judged row by row, each by its own
 text; other columns are left out.
 """
@@ -32,6 +34,7 @@ text; other columns are left out.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -45,13 +48,24 @@ SHINGLE = 3
 NEED = 85                  # per cent of the union
 WIDTH = 3
 COORDINATES = 40
-MATCHES = 7
+MATCHES = 7                # at most; fewer for a lower need
+MISS = 1e-7
 LIST = 20_000              # documents of a list whose coordinates are counted
 BLOCK = 2_000_000          # shingles of a block of a family
 SEEDS = np.random.default_rng(11).integers(1, 2 ** 63, WIDTH * COORDINATES, dtype=np.uint64) * U(2) + U(1)
 SIGNATURES = "doc_id long, chunk long, doc int, n long, set_key binary, coordinates binary"
 
 
+def matches_for(need: int) -> int:
+    """The most coordinates, up to MATCHES, in which documents with a similarity of need
+    per cent agree but for a probability below MISS."""
+    p = (need / 100) ** WIDTH
+    for m in range(MATCHES, 0, -1):
+        if sum(math.comb(COORDINATES, k) * p ** k * (1 - p) ** (COORDINATES - k) for k in range(m)) < MISS:
+            return m
+    raise ValueError(f"{COORDINATES} coordinates are too few for a similarity of {need} per cent")
+
+
 def shingles(text: bytes, k: int = SHINGLE) -> np.ndarray:
     """Ascending 64-bit hashes of the distinct shingles."""
     words = text.translate(C.LOWER).split()
@@ -73,12 +87,12 @@ def signature(s: np.ndarray) -> np.ndarray:
     return C.mix(out)
 
 
-def sign(batches):
+def sign(batches, k: int = SHINGLE):
     for row in C.rows_of(batches):
         chunk = C.Chunk(row)
         out = []
         for d, text in enumerate(chunk.texts()):
-            s = shingles(text)
+            s = shingles(text, k)
             out.append((int(chunk.ids[d]) if chunk.known[d] else None, row["chunk"], d, len(s),
                         hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None,
                         signature(s).tobytes() if len(s) else None))
@@ -89,9 +103,9 @@ def sign(batches):
             names=["doc_id", "chunk", "doc", "n", "set_key", "coordinates"])
 
 
-def post(batches):
+def post(batches, matches: int = MATCHES):
     """(key, rep) for the prefix coordinates."""
-    prefix = COORDINATES - MATCHES + 1
+    prefix = COORDINATES - matches + 1
     for batch in batches:
         flat = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.int64).reshape(-1, COORDINATES)
         reps = batch.column(0).to_numpy()
@@ -123,8 +137,8 @@ def groups(batches, keys: int):
         yield take(held)
 
 
-def list_pairs(batches):
-    """Per list a spanning forest of the pairs that agree in MATCHES coordinates.
+def list_pairs(batches, matches: int = MATCHES):
+    """Per list a spanning forest of the pairs that agree in ``matches`` coordinates.
     In: key, rep, bytes (the low byte of each coordinate), sorted by key."""
     us, vs = [], []
     for key, reps, marks in groups(batches, 1):
@@ -135,7 +149,7 @@ def list_pairs(batches):
             front, rest = [rest[0]], rest[1:]
             while front and len(rest):
                 x = front.pop()
-                met = (sig[rest] == sig[x]).sum(axis=1) >= MATCHES
+                met = (sig[rest] == sig[x]).sum(axis=1) >= matches
                 if met.any():
                     us += [int(reps[x])] * int(met.sum())
                     vs += reps[rest[met]].tolist()
@@ -151,21 +165,21 @@ def pairs(us: list, vs: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
 
-def family_sets(batches):
+def family_sets(batches, k: int = SHINGLE):
     """The full sets of a chunk's documents that belong to families."""
     for row in C.rows_of(batches):
         chunk = C.Chunk(row)
         out = []
         for m in row["members"]:
             a, b = int(chunk.starts[m["doc"]]), int(chunk.ends[m["doc"]])
-            out.append((m["family"], m["rep"], m["blocks"], shingles(chunk.data[a:b]).tobytes()))
+            out.append((m["family"], m["rep"], m["blocks"], shingles(chunk.data[a:b], k).tobytes()))
         for i in range(0, len(out), 256):
             cols = list(zip(*out[i:i + 256]))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (
                 pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["family", "rep", "blocks", "set"])
 
 
-def family_links(batches):
+def family_links(batches, need: int = NEED):
     """Per (family, block pair) a spanning forest of the true links.
     In: family, pair, rep, set; sorted by family and pair."""
     us, vs = [], []
@@ -183,7 +197,7 @@ def family_links(batches):
             front, rest = [rest[0]], rest[1:]
             while front and len(rest):
                 x = front.pop()
-                near = rest[(100 * np.minimum(size[rest], size[x]) >= NEED * np.maximum(size[rest], size[x]))]
+                near = rest[(100 * np.minimum(size[rest], size[x]) >= need * np.maximum(size[rest], size[x]))]
                 if not len(near):
                     continue
                 own = flat[starts[x]:starts[x] + size[x]]
@@ -194,7 +208,7 @@ def family_links(batches):
                     common = np.array([int(mark[flat[starts[y]:starts[y] + size[y]]].sum(dtype=np.int64))
                                        for y in near.tolist()])
                 mark[own] = 0
-                met = near[100 * common >= NEED * (size[near] + size[x] - common)]
+                met = near[100 * common >= need * (size[near] + size[x] - common)]
                 if len(met):
                     us += [int(reps[x])] * len(met)
                     vs += reps[met].tolist()
@@ -227,17 +241,18 @@ def components(s: C.Scratch, edges: DataFrame, name: str) -> DataFrame:
     return labels
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, need: int = NEED) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
+    matches = matches_for(need)
     s = C.Scratch(docs.sparkSession, "minhash")
     chunks = C.chunk_table(s, docs)
-    signed = s.table(chunks.mapInArrow(sign, SIGNATURES), "signatures")
+    signed = s.table(chunks.mapInArrow(lambda b: sign(b, shingle), SIGNATURES), "signatures")
     usable = signed.where("doc_id IS NOT NULL AND n > 0")
     reps = s.table(usable.groupBy("set_key").agg(
         F.min(F.struct("doc_id", "chunk", "doc", "n", "coordinates")).alias("r"))
         .select("set_key", F.col("r.doc_id").alias("rep"), "r.chunk", "r.doc", "r.n", "r.coordinates"), "reps")
 
-    posts = s.table(reps.select("rep", "coordinates").mapInArrow(post, "key long, rep long"), "posts")
+    posts = s.table(reps.select("rep", "coordinates").mapInArrow(lambda b: post(b, matches), "key long, rep long"), "posts")
     lists = posts.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("first")).where("size > 1")
     met = s.table(posts.join(lists, "key"), "lists")
     star = met.where(f"size > {LIST} AND rep <> first").select(F.col("first").alias("u"), F.col("rep").alias("v"))
@@ -245,7 +260,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     counted = (met.where(f"size <= {LIST}").select("key", "rep").join(marks, "rep")
                .mapInArrow(low_bytes, "key long, rep long, marks binary")
                .repartition("key").sortWithinPartitions("key", "rep")
-               .mapInArrow(list_pairs, "u long, v long"))
+               .mapInArrow(lambda b: list_pairs(b, matches), "u long, v long"))
     family = components(s, counted.unionByName(star).distinct(), "families")
 
     # blocks of bounded size: a family of more shingles meets in all pairs of blocks
@@ -254,13 +269,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     wanted = (member.join(size, "family").groupBy("chunk")
               .agg(F.collect_list(F.struct("doc", "rep", "family", "blocks")).alias("members")))
     sets = chunks.join(wanted, "chunk").mapInArrow(
-        family_sets, "family long, rep long, blocks long, set binary")
+        lambda b: family_sets(b, shingle), "family long, rep long, blocks long, set binary")
     own = F.pmod(F.xxhash64("rep"), F.col("blocks"))
     spread = (sets.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
               .where("blocks = 1 OR own <> other")
               .withColumn("pair", F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")))
     links = (spread.select("family", "pair", "rep", "set").repartition("family", "pair")
-             .sortWithinPartitions("family", "pair", "rep").mapInArrow(family_links, "u long, v long"))
+             .sortWithinPartitions("family", "pair", "rep").mapInArrow(lambda b: family_links(b, need), "u long, v long"))
     label = components(s, links, "components")
     of_set = (reps.select("set_key", "rep").join(label, reps.rep == label.node, "left")
               .select("set_key", F.coalesce("label", "rep").alias("component")))
@@ -283,12 +298,12 @@ def low_bytes(batches):
             names=["key", "rep", "marks"])
 
 
-def brute_force(docs: list) -> dict:
+def brute_force(docs: list, shingle: int = SHINGLE, need: int = NEED) -> dict:
     """docs: (id, text) with distinct ids. {id: (set size, smallest id reachable)}, all pairs."""
     sets = {}
     for i, t in docs:
         w = (t or "").encode().translate(C.LOWER).split()
-        sets[i] = {tuple(w[j:j + SHINGLE]) for j in range(max(1, len(w) - SHINGLE + 1))} if w else set()
+        sets[i] = {tuple(w[j:j + shingle]) for j in range(max(1, len(w) - shingle + 1))} if w else set()
     label = {i: i for i in sets}
     ids = sorted(sets)
     changed = True
@@ -297,7 +312,7 @@ def brute_force(docs: list) -> dict:
         for a in ids:
             for b in ids:
                 if a < b and sets[a] and sets[b] and label[a] != label[b] and \
-                        100 * len(sets[a] & sets[b]) >= NEED * len(sets[a] | sets[b]):
+                        100 * len(sets[a] & sets[b]) >= need * len(sets[a] | sets[b]):
                     label[a] = label[b] = min(label[a], label[b])
                     changed = True
     return {i: (len(sets[i]), label[i]) for i in ids}

@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+import corpus_pipeline
 from annolab.llm import debruijn, minhash, parsing
 
 SCHEMA = "doc_id long, text string, spans string, chunk long"
@@ -100,3 +101,29 @@ def test_hot_list(spark, monkeypatch):
 @pytest.mark.parametrize("dedup", [debruijn.dedup, parsing.dedup, minhash.near_duplicates])
 def test_empty_table(spark, dedup):
     assert dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_shingle_and_need_are_parameters(spark, monkeypatch, seed):
+    monkeypatch.setattr(minhash, "BLOCK", 200)
+    docs = rows(seed)
+    known = {i: t for i, t in docs if i is not None}
+    want = minhash.brute_force(list(known.items()), 5, 80)
+    got = [r for r in minhash.near_duplicates(frame(spark, docs), 5, 80).collect() if r.doc_id is not None]
+    assert all((r.n_shingles, r.component_id) == want[r.doc_id] for r in got)
+
+
+def test_matches_for():
+    assert minhash.matches_for(85) == 7 and minhash.matches_for(80) == 5
+    with pytest.raises(ValueError):
+        minhash.matches_for(40)
+
+
+def test_pipeline_stage_finds_an_appended_passage(spark):
+    r = random.Random(5)
+    w = ["".join(r.choices("abcdefghij", k=8)) for _ in range(485)]
+    pairs = [(1, " ".join(w[:400])), (2, " ".join(w)), (3, " ".join(reversed(w)))]
+    sets = [{tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)} for _, t in pairs]
+    assert 0.82 < len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.83
+    docs = spark.createDataFrame([(i, t, "x") for i, t in pairs], "doc_id long, text string, lang string")
+    assert sorted(x.doc_id for x in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()) == [1, 3]
