@@ -229,3 +229,36 @@ def q_inference_compare(spark, sf_dir):
     long = CMP.long_predictions(scored)
     wide = CMP.wide_predictions(long, [m for m, df in scored.items() if df is not None])
     return CMP.agreement(wide).select("doc_id", "mod_rule_prediction", "rated_prediction", "agree")
+
+
+# a model's inference over every text: embedded, scored by an ordinal head, compared with a rule
+@register("inference_models", """
+WITH tok AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}') AS t FROM documents),
+g AS (SELECT doc_id, unnest(list_concat(t, CASE WHEN len(t) >= 2
+        THEN list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]) ELSE [] END)) AS gram FROM tok),
+h AS (SELECT doc_id, md5(gram) AS h FROM g),
+b AS (SELECT doc_id, CAST(('0x' || substring(h, 1, 8))::BIGINT % 64 AS INTEGER) AS bucket,
+             CAST(sum(CASE WHEN ('0x' || substring(h, 9, 1))::BIGINT % 2 = 1 THEN -1 ELSE 1 END) AS DOUBLE) AS v
+      FROM h GROUP BY 1, 2),
+e AS (SELECT doc_id, sum(v * ((bucket * 37) % 17 - 8) / 17.0::DOUBLE) / greatest(sqrt(sum(v * v)), 1e-300::DOUBLE) AS s
+      FROM b GROUP BY 1),
+s AS (SELECT d.doc_id, d.n_chars, coalesce(e.s, 0.0::DOUBLE) AS s FROM documents d LEFT JOIN e ON d.doc_id = e.doc_id),
+q AS (SELECT *, 1 / (1 + exp(-(s + 1.5::DOUBLE))) AS a, 1 / (1 + exp(-(s + 0.5::DOUBLE))) AS b,
+             1 / (1 + exp(-(s - 0.5::DOUBLE))) AS c, 1 / (1 + exp(-(s - 1.5::DOUBLE))) AS d FROM s),
+p AS (SELECT doc_id, [1 - a, a - b, b - c, c - d, d] AS p,
+             CAST(CASE WHEN n_chars < 1000 THEN 1 WHEN n_chars < 2500 THEN 2 WHEN n_chars < 5000 THEN 3
+                       WHEN n_chars < 10000 THEN 4 ELSE 5 END AS INTEGER) AS length_rule_prediction FROM q),
+m AS (SELECT *, CAST(list_position(p, list_max(p)) AS INTEGER) AS k FROM p)
+SELECT doc_id, length_rule_prediction, k AS ordinal_hashed_prediction,
+       round(list_max(p) / (1 + 1e-8::DOUBLE), 6) AS ordinal_hashed_confidence, length_rule_prediction = k AS agree
+FROM m""")
+def q_inference_models(spark, sf_dir):
+    """M04 + M16: every document embedded by the hashing encoder, scored by the fixed
+    ordinal head and by the length rule (which has no confidence), compared row by row."""
+    docs = T.table(spark, sf_dir, "documents", heavy=True).select("doc_id", "text", "n_chars")
+    head = MD.OrdinalModel(EV.fixed_weights(DEFAULTS.embedding_dim), list(EV.FIXED_BIASES), DEFAULTS.num_classes)
+    scored = head.transform(hashing_embed(docs))
+    wide = CMP.score_columns(scored, {"length_rule": (EV.length_rule(scored), F.lit(None).cast("double")),
+                                      "ordinal_hashed": (F.col("predicted"), F.col("confidence"))})
+    return CMP.agreement(wide).select("doc_id", "length_rule_prediction", "ordinal_hashed_prediction",
+                                      F.round("ordinal_hashed_confidence", 6).alias("ordinal_hashed_confidence"), "agree")
