@@ -54,9 +54,12 @@ def vote_texts(records: DataFrame, text: str = "text", label: str = "label",
     votes_for, votes_total, n_labels, first_seq, first_row); one row per
     distinct text; ``first_row`` is the row id of the text's first record.
 
-    The vote runs on hash keys and row ids alone; the text of a winner is then
-    fetched from its first record, so every text crosses at most one shuffle."""
-    keyed = records.select(text_key(text).alias("text_key"), F.col(label).alias(label),
+    The vote runs on hash keys and row ids alone; the text is then fetched by its key
+    (records that share a key share the text, whatever their ids), one per task and
+    text, so every text crosses at most one shuffle. NULL texts have a key of their
+    own, the empty one."""
+    key = F.coalesce(text_key(text), F.lit(b""))
+    keyed = records.select(key.alias("text_key"), F.col(label).alias(label),
                            F.col(seq).alias("seq"), F.col(row_id).alias("row_id"))
     per = (keyed.groupBy("text_key", label)
            .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("seq", "row_id")).alias("first")))
@@ -67,8 +70,8 @@ def vote_texts(records: DataFrame, text: str = "text", label: str = "label",
                 F.count(F.lit(1)).alias("n_labels"),
                 F.min("first").alias("first"))
            .withColumn("first_seq", F.col("first.seq")).withColumn("first_row", F.col("first.row_id")).drop("first"))
-    texts = records.select(F.col(row_id).alias("first_row"), F.col(text).alias("text"))
-    return won.join(texts, "first_row").select("text_key", "text", label, "votes_for", "votes_total",
+    texts = records.groupBy(key.alias("text_key")).agg(F.first(text).alias("text"))
+    return won.join(texts, "text_key").select(F.nullif("text_key", F.lit(b"")).alias("text_key"), "text", label, "votes_for", "votes_total",
                                                "n_labels", "first_seq", "first_row")
 
 

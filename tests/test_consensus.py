@@ -44,3 +44,13 @@ def test_anti_and_semi_partition_the_regular_rows(spark):
     regular = {r.doc_id for r in parts.with_text.filter(F.col("kind") == "regular").collect()}
     unlabelled = {5}
     assert kept | dups | unlabelled == regular
+
+
+def test_one_row_per_text_with_repeated_and_null_ids(spark):
+    recs = spark.createDataFrame(
+        [(None, 1, "no id", 3), (7, 2, "a", 4), (7, 2, "a", 4), (7, 3, "b", 2), (8, 4, None, 1)],
+        "doc_id long, seq long, text string, label int")
+    got = [(x.text_key, x.text, x.label, x.votes_total, x.first_row) for x in C.vote_texts(recs).collect()]
+    assert len(got) == 4
+    assert {r[1:] for r in got} == {("no id", 3, 1, None), ("a", 4, 2, 7), ("b", 2, 1, 7), (None, 1, 1, 8)}
+    assert all((k is None) == (t is None) for k, t, *_ in got)
