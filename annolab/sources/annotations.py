@@ -54,7 +54,7 @@ def classify(files: DataFrame, root: str, settings: Settings = DEFAULTS) -> Data
     parsed = (files.withColumn("texts", F.from_json("body", "array<string>"))
               .withColumn("values", F.from_json("body", "array<variant>")))
     whole = F.rtrim(F.regexp_replace("body", r"\s+$", "")).endswith("]")
-    starts = F.ltrim(F.regexp_replace(F.substring("body", 1, 1000), r"^[\s\x{FEFF}]+", "")).startswith("[")
+    starts = F.col("body").rlike(r"^[\s\x{FEFF}]*\[")
     reason = (F.when(starts & (F.col("texts").isNull() | ~whole), F.lit("malformed"))
               .when(F.col("texts").isNull() | ~starts, F.when(F.expr("try_parse_json(body)").isNull(), F.lit("malformed"))
                     .otherwise(F.lit("not_a_list")))

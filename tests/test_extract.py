@@ -103,3 +103,11 @@ def test_vote_on_raw_labels(spark):
     assert {r.text: r.label for r in parts.voted.collect()} == {"t": None, "u": 3}
     assert [r.doc_id for r in parts.kept.collect()] == ["6"]                    # t stays a consensus text
     assert [r.text for r in parts.complete.where("split = 'test'").collect()] == ["u"]
+
+
+def test_list_behind_much_white_space(spark, tmp_path):
+    (tmp_path / "far.json").write_text(" \n\t" * 2000 + '[{"text":"t"}]')
+    (tmp_path / "no.json").write_text(" " * 5000 + '{"text":"t"}')
+    records, quarantined = read_annotations(spark, str(tmp_path))
+    assert [r.text for r in records.collect()] == ["t"]
+    assert [(os.path.basename(r.path), r.reason) for r in quarantined.collect()] == [("no.json", "not_a_list")]
