@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annolab.llm import (common, debruijn, decontaminate, hmm, langid, minhash, parsing, pieces, pii,
-                         quality, topk)
+from annolab.llm import (alignment, common, debruijn, decontaminate, hmm, langid, minhash, parsing, periodic,
+                         pieces, pii, quality, topk, vectors)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -149,3 +149,48 @@ r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY sc
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
 def op10_topk(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query()
+def op11_alignment(spark, sf_dir):
+    return alignment.link_statistics(documents(spark, sf_dir))
+
+
+@query(r"""WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+             CAST(doc_id AS VARCHAR) AS s FROM documents),
+crc AS (SELECT *, len(w) AS n, xor(4294967295, list_reduce(list_transform(range(1, length(s) + 1), lambda i: CAST(ascii(substring(s, i, 1)) AS BIGINT)),
+          lambda c, b: list_reduce(range(8), lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b)),
+          CAST(4294967295 AS BIGINT))) AS h FROM d),
+beg AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n ELSE n END AS a FROM crc),
+per AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM beg),
+t AS (SELECT k, doc_id, n, list_transform(range(0, n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) AS w FROM per),
+g AS (SELECT k, n, i, array_to_string(w[i + 1:i + 5], ' ') AS s FROM (SELECT k, n, w, unnest(range(0, n - 4)) AS i FROM t WHERE n >= 6)),
+eq AS (SELECT x.k, x.i, y.i - x.i AS q FROM g x JOIN g y ON x.k = y.k AND x.s = y.s AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+isl AS (SELECT k, q, i, i - row_number() OVER (PARTITION BY k, q ORDER BY i) AS z FROM eq),
+per_run AS (SELECT k, q, min(i) AS s, count(*) + 4 + q AS n FROM isl GROUP BY k, q, z HAVING count(*) + 4 + q >= greatest(6, 4 * q)),
+runs AS (SELECT * FROM per_run r WHERE NOT EXISTS (SELECT 1 FROM per_run o WHERE o.k = r.k AND o.q < r.q AND o.s <= r.s AND o.s + o.n >= r.s + r.n)),
+top AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY n / q DESC, s, q) AS z FROM runs),
+txt AS (SELECT k, count(*) AS n_runs, string_agg(s || ',' || n || ',' || q || chr(10), '' ORDER BY s, q) AS r FROM runs GROUP BY k),
+gone AS (SELECT DISTINCT k, unnest(range(s + q, s + n)) AS i FROM runs),
+word AS (SELECT k, unnest(w) AS x, unnest(range(0, n)) AS i FROM t),
+kept AS (SELECT word.k, string_agg(x, ' ' ORDER BY word.i) AS c FROM word LEFT JOIN gone ON gone.k = word.k AND gone.i = word.i
+         WHERE gone.i IS NULL GROUP BY word.k)
+SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, top.s AS start, top.n AS length, top.q AS period, 1000 * top.n // top.q AS exponent_milli,
+       sha256(coalesce(r, '')) AS runs_sha256, sha256(coalesce(c, '')) AS collapsed_sha256
+FROM t LEFT JOIN txt ON txt.k = t.k LEFT JOIN top ON top.k = t.k AND top.z = 1 LEFT JOIN kept ON kept.k = t.k""")
+def op12_periodic(spark, sf_dir):
+    return periodic.digest(periodic.periodic_runs(documents(spark, sf_dir)))
+
+
+@query(r"""WITH RECURSIVE v AS (SELECT row_number() OVER () AS k, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(e) > 0
+       AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT x.k AS a, y.k AS b FROM ok x JOIN ok y ON x.label = y.label AND len(x.e) = len(y.e) AND x.k <> y.k
+          AND list_cosine_similarity(x.e, y.e) >= 0.98),
+reach AS (SELECT k, k AS r FROM v UNION SELECT reach.k, b FROM reach JOIN links ON reach.r = a),
+comp AS (SELECT reach.k, min(v.vec_id) AS component_id FROM reach JOIN v ON v.k = reach.r GROUP BY 1),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY 1)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, component_id, coalesce(v.vec_id = component_id, true) AS kept
+FROM v JOIN comp ON comp.k = v.k LEFT JOIN n ON n.a = v.k""")
+def op13_vectors(spark, sf_dir):
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
