@@ -167,10 +167,12 @@ def q_model_roundtrip(spark, sf_dir):
 @register("history_roundtrip", W(SQL_HIST) + """
 SELECT run_id, count(*) AS n, max(epoch) AS last_epoch, max(val_acc) AS best FROM h GROUP BY run_id""")
 def q_history_roundtrip(spark, sf_dir):
+    """Every part appended, and one of them a second time, as by a retry."""
     path = scratch(spark, "history")
     h = materialize(H.from_events(T.table(spark, sf_dir, "events")), "events")
     TB.append_history(h.where("run_id % 2 = 0"), path)
     TB.append_history(h.where("run_id % 2 <> 0"), path)
+    TB.append_history(h.where("run_id % 3 = 0"), path)
     return TB.read_history(spark, path).groupBy("run_id").agg(
         F.count("*").alias("n"), F.max("epoch").alias("last_epoch"), F.max("val_acc").alias("best"))
 

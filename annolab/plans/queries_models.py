@@ -7,14 +7,18 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from annolab.config import DEFAULTS, Settings
+from annolab.config import DEFAULTS
 from annolab.functions import ordinal as O
 from annolab.operators import compare as CMP
 from annolab.operators import features as FE
+from annolab.operators import history as H
 from annolab.operators import metrics as M
 from annolab.operators import mlp as NN
 from annolab.operators import models as MD
+from annolab.operators import numbering as N
 from annolab.operators import profile as P
+from annolab.operators import split as S
+from annolab.operators import training as TR
 from annolab.operators.embed import hashing_embed
 from annolab.plans import evaluation as EV
 from annolab.plans.catalog import dataset, register
@@ -151,31 +155,83 @@ def q_ordinal_fit(spark, sf_dir):
                        (F.col("loss") < constant / 2).alias("beats_constant"), F.lit(ordered).alias("biases_ordered"))
 
 
-SMALL = Settings(hidden_dims=(16, 8))
-SQL_NETWORK = W(SQL_SIGNAL) + """
-SELECT count(*) AS n, round(max(c) / CAST(sum(c) AS DOUBLE), 6) AS majority, TRUE AS beats_majority
-FROM (SELECT count(*) AS c FROM lab GROUP BY label)""".replace("count(*) AS n", "CAST(sum(c) AS BIGINT) AS n")
-
-
-def _network_row(spark, sf_dir, fit):
+# the labelled vectors, split by class as W01 does
+SQL_SIGNAL_SPLIT = SQL_SIGNAL + ",\nkept AS (SELECT vec_id AS doc_id, label FROM lab),\n" \
+    + SQL_SPLIT[SQL_SPLIT.index("cls AS ("):SQL_SPLIT.index("split AS (")] + """
+parts AS (SELECT r.doc_id AS vec_id, r.label, CASE WHEN r.rk <= q.quota THEN 'val' ELSE 'train' END AS split
+          FROM ranked r JOIN quota q ON r.label = q.label)"""
+SQL_NETWORK = W(SQL_SIGNAL_SPLIT) + """
+SELECT CAST(sum(CASE WHEN split = 'train' THEN c END) AS BIGINT) AS n_train,
+       CAST(sum(CASE WHEN split = 'val' THEN c END) AS BIGINT) AS n_val,
+       round(max(CASE WHEN split = 'val' THEN c END) / CAST(sum(CASE WHEN split = 'val' THEN c END) AS DOUBLE), 6) AS majority,
+       TRUE AS beats_majority, TRUE AS kept_first_best, TRUE AS ended_at_stop, TRUE AS kept_scores_best
+FROM (SELECT split, label, count(*) AS c FROM parts GROUP BY 1, 2)"""
+
+
+def _network_row(spark, sf_dir, ordinal):
+    """The network of Settings' size fitted on train and validated on val after each epoch
+    (S11, W05, W07): the kept weights are those of the first best epoch, the history ends where
+    ``early_stopping`` ends it, the kept network scores the best accuracy on val again, which is
+    at least 0.2 above the share of val's largest class."""
     e = T.signal_embeddings(spark, sf_dir)
-    scored = fit(e, settings=SMALL, max_iter=60).transform(e)
-    hit = scored.agg(F.avg(M.correct_flag().cast("double"))).scalar()
-    counts = e.groupBy("label").agg(F.count("*").alias("c"))
-    return counts.agg(F.sum("c").alias("n"), (F.max("c") / F.sum("c")).alias("m")).select(
-        "n", F.round("m", 6).alias("majority"), (hit > F.col("m") + 0.2).alias("beats_majority"))
+    rows = materialize(S.stratified_split(e, "label", "vec_id", DEFAULTS.val_fraction, DEFAULTS.seed), "signal-split")
+    run = TR.fit_validated(rows, "embedding", "label", DEFAULTS, ordinal=ordinal)
+    stop = H.early_stopping(run.history(spark, "run")).first()
+    val = run.best.transform(rows.where("split = 'val'"))
+    hit = val.agg(F.avg(M.correct_flag().cast("double"))).scalar()
+    counts = rows.groupBy("split", "label").agg(F.count("*").alias("c"))
+    of = {s: F.when(F.col("split") == s, F.col("c")) for s in ("train", "val")}
+    return counts.agg(F.sum(of["train"]).alias("n_train"), F.sum(of["val"]).alias("n_val"),
+                      (F.max(of["val"]) / F.sum(of["val"])).alias("m")).select(
+        "n_train", "n_val", F.round("m", 6).alias("majority"), (hit > F.col("m") + 0.2).alias("beats_majority"),
+        F.lit(stop.best_epoch == run.best_epoch).alias("kept_first_best"),
+        F.lit(stop.n_epochs == len(run.curves)).alias("ended_at_stop"),
+        (F.abs(100.0 * hit - F.lit(stop.best_val_acc)) < 1e-6).alias("kept_scores_best"))
 
 
 @register("mlp_fit", SQL_NETWORK)
 def q_mlp_fit(spark, sf_dir):
-    """Hidden layers plus ordinal head, accuracy against the largest class."""
-    return _network_row(spark, sf_dir, NN.fit_ordinal_network)
+    """Hidden layers plus ordinal head."""
+    return _network_row(spark, sf_dir, True)
 
 
 @register("mlp_softmax_fit", SQL_NETWORK)
 def q_mlp_softmax_fit(spark, sf_dir):
-    """MultilayerPerceptronClassifier, accuracy against the largest class."""
-    return _network_row(spark, sf_dir, NN.fit_softmax)
+    """MultilayerPerceptronClassifier."""
+    return _network_row(spark, sf_dir, False)
+
+
+# ---------------------------------------------------------------- L06 M15: shuffled batches and their means
+SQL_EPOCHS = SQL_SIGNAL + """,
+ep AS (SELECT CAST(unnest(range(0, 3)) AS INTEGER) AS epoch),
+numbered AS (SELECT epoch, vec_id, row_number() OVER (PARTITION BY epoch
+               ORDER BY md5('42:' || CAST(epoch AS VARCHAR) || ':' || CAST(vec_id AS VARCHAR)), vec_id) - 1 AS place FROM lab, ep),
+batched AS (SELECT epoch, CAST(place // 32 AS BIGINT) AS batch, vec_id AS row_id, place FROM numbered)"""
+
+
+@register("epoch_batches", W(SQL_EPOCHS) + " SELECT epoch, batch, row_id FROM batched")
+def q_epoch_batches(spark, sf_dir):
+    return N.epoch_batches(T.signal_embeddings(spark, sf_dir), 3, "vec_id").select("epoch", "batch", "row_id")
+
+
+@register("epoch_batch_means", W(SQL_EPOCHS) + """
+SELECT epoch, count(*) AS n_batches, CAST(sum(n) AS BIGINT) AS n, round(avg(m), 6) AS mean
+FROM (SELECT epoch, batch, avg(CAST(label AS DOUBLE) * s) AS m, count(*) AS n FROM batched JOIN
+      (SELECT sig.vec_id, label, sig.s FROM sig JOIN lab ON sig.vec_id = lab.vec_id) v ON v.vec_id = row_id GROUP BY 1, 2) GROUP BY 1""")
+def q_epoch_batch_means(spark, sf_dir):
+    """The mean of the batches' means of a value per row (label times the deciding sum)."""
+    e = materialize(T.signal_embeddings(spark, sf_dir), "signal")
+    scored = e.select("vec_id", (F.col("label") * (F.get("embedding", 0) + F.get("embedding", 1))).alias("v"))
+    got = N.epoch_means(scored, N.epoch_batches(e, 3, "vec_id"), "v", "vec_id")
+    return got.withColumn("mean", F.round("mean", 6))
+
+
+# ---------------------------------------------------------------- U02: the combined table re-indexed
+@register("complete_index", "WITH " + SQL_SPLIT.strip() + """
+SELECT doc_id, split, row_number() OVER (ORDER BY CASE split WHEN 'train' THEN 0 WHEN 'val' THEN 1 WHEN 'test' THEN 2 ELSE 3 END,
+                                         doc_id) - 1 AS index FROM complete""")
+def q_complete_index(spark, sf_dir):
+    return N.reindexed(dataset(spark, sf_dir)[1].complete.select("doc_id", "split"))
 
 
 # ---------------------------------------------------------------- M16 J04 U04 A24 P10 P17

@@ -60,18 +60,20 @@ def write_reports(pred, prefix: str):
 
 
 def train_and_evaluate_ordinal(spark: SparkSession, table: str, out: str, settings: Settings = DEFAULTS,
-                               hidden: tuple = (), max_iter: int = 100):
-    """Entry C: embed the texts (cached), fit the ordinal network on train (the labels of
-    val are only scored), save it, score val and test, write predictions and reports."""
+                               hidden: tuple = (), iterations: int = 10, run_id: str = "ordinal"):
+    """Entry C: embed the texts (cached), fit the ordinal network on train in rounds with
+    val scored after each, keep the weights of the best round and of the last, write the
+    history (one row per round), score val and test, write predictions and reports."""
     from annolab.operators.embed import cached_embed
-    from annolab.operators.mlp import fit_ordinal_network, history_frame
+    from annolab.operators.training import fit_validated
     rows = cached_embed(TB.read_split(spark, table, "train", "val", "test")
                         .select("doc_id", "text", "label", "split"), f"{out}/embeddings", settings=settings)
     rows = materialize(rows, "embedded")
-    net = fit_ordinal_network(rows.where("split = 'train'"), "embedding", "label", settings, hidden, max_iter)
-    net.save(spark, f"{out}/ordinal_model")
-    TB.append_history(history_frame(spark, net, "ordinal"), f"{out}/ordinal_history")
-    scored = net.transform(rows).withColumn("correct", M.correct_flag())
+    run = fit_validated(rows, "embedding", "label", settings, hidden, ordinal=True, iterations=iterations)
+    run.best.save(spark, f"{out}/ordinal_model")
+    run.last.save(spark, f"{out}/ordinal_final_model")
+    TB.append_history(run.history(spark, run_id), f"{out}/ordinal_history")
+    scored = run.best.transform(rows).withColumn("correct", M.correct_flag())
     scored.select("doc_id", "split", "label", "predicted", "correct", "confidence",
                   *[F.get("probs", k).alias(f"prob_class_{k + 1}") for k in range(settings.num_classes)]) \
         .write.mode("overwrite").parquet(f"{out}/ordinal_predictions")
@@ -80,11 +82,6 @@ def train_and_evaluate_ordinal(spark: SparkSession, table: str, out: str, settin
                          f"{out}/ordinal")
 
 
-def _there(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def texts_frame(spark: SparkSession, texts: list[str]):
     """A list of texts as a table with row ids in the order given."""
     return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
@@ -101,10 +98,10 @@ def infer(spark: SparkSession, texts, models: str, out: str | None = None, setti
     from annolab.operators.models import BaselineModel
     rows = (texts_frame(spark, texts) if isinstance(texts, list) else texts).select("doc_id", "text")
     scored = {}
-    if _there(spark, f"{models}/baseline_model"):
+    if TB.exists(spark, f"{models}/baseline_model"):
         s = BaselineModel.load(f"{models}/baseline_model", settings).transform(rows)
         scored["Baseline"] = s.select("doc_id", "predicted", F.element_at("probs", F.col("predicted")).alias("confidence"))
-    if _there(spark, f"{models}/ordinal_model"):
+    if TB.exists(spark, f"{models}/ordinal_model"):
         embedded = cached_embed(rows, None, settings=settings).select("doc_id", "embedding")
         scored["MLP"] = Network.load(spark, f"{models}/ordinal_model").transform(embedded)
     wide = CMP.wide_predictions(CMP.long_predictions(scored, spark=spark), list(scored))

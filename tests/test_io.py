@@ -111,7 +111,7 @@ def test_stages_from_files_to_agreement(spark, tmp_path):
     table, rate = ST.infer(spark, texts, out, settings=s)
     assert rate.collect() == [] and table.first().agree is None
 
-    net = ST.train_and_evaluate_ordinal(spark, f"{out}/complete", out, s, hidden=(8,), max_iter=40).first()
+    net = ST.train_and_evaluate_ordinal(spark, f"{out}/complete", out, s, hidden=(8,), iterations=20).first()
     assert net.n == 12 and net.accuracy > 0.5
     table, rate = ST.infer(spark, texts, out, str(tmp_path / "csv"), s)
     rows = {r.doc_id: r for r in table.collect()}
