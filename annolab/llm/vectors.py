@@ -45,7 +45,7 @@ from annolab.llm.minhash import components
 
 LEAST = 0.98
 CELL = 512                 # home vectors of a cell that is not divided
-PIVOTS = 16                # pivots of a division
+PIVOTS = 8                 # pivots of a division
 SAMPLE = 256               # vectors drawn (expected) to plan a division
 BLOCK = 4096               # home vectors a task holds
 STREAM = 512               # streamed vectors compared at once
@@ -61,7 +61,8 @@ FOUND = "u long, v long, n long"
 # ------------------------------------------------------------------ rows
 def prepared(df: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
     """(vec_id, cell, raw): cell is NULL for rows that link with nothing; raw are the
-    components as doubles."""
+    components, as ``width_of`` says."""
+    kind = width_of(df, vec_col)
     base = df.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{label_col}`").cast("string").alias("label"),
                      F.col(f"`{vec_col}`").cast("array<double>").alias("v"))
     v = F.col("v")
@@ -72,7 +73,7 @@ def prepared(df: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFr
     def pack(batches):
         for batch in batches:
             lists = batch.column(2)
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64) + 0.0     # -0.0 becomes 0.0
+            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(kind) + 0     # -0.0 becomes 0.0
             ends = np.cumsum([0 if n is None else n for n in pa.compute.list_value_length(lists).to_pylist()]).tolist()
             raw = [flat[a:b].tobytes() if b > a else None for a, b in zip([0, *ends], ends)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(raw, pa.binary())],
@@ -81,9 +82,14 @@ def prepared(df: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFr
     return base.mapInArrow(pack, "vec_id long, cell string, raw binary")
 
 
-def unit_rows(column) -> np.ndarray:
+def width_of(df: DataFrame, vec_col: str) -> str:
+    """Floats travel as floats, everything else as doubles; all arithmetic is in doubles."""
+    return "f4" if df.schema[vec_col].dataType.simpleString() == "array<float>" else "f8"
+
+
+def unit_rows(column, kind: str) -> np.ndarray:
     """Unit vectors of a binary column of equally long rows."""
-    m = np.frombuffer(b"".join(column.to_pylist()), dtype=np.float64).reshape(len(column), -1)
+    m = np.frombuffer(b"".join(column.to_pylist()), dtype=kind).reshape(len(column), -1).astype(np.float64)
     m = m / np.abs(m).max(1, keepdims=True)
     return m / np.sqrt((m * m).sum(1, keepdims=True))
 
@@ -118,12 +124,12 @@ def reached(d2: np.ndarray, between: np.ndarray, r: float) -> np.ndarray:
     return out
 
 
-def plan(pivots: int, r: float):
+def plan(pivots: int, r: float, width: str):
     """Of a cell's sample: pivots (none if a division would not help) and the middle of a ball
     (none if there is none)."""
     def run(table):
         table = table.sort_by([("draw", "ascending"), ("rep", "ascending")])
-        x, first = unit_rows(table.column("raw")), table.column("first")[0].as_py()
+        x, first = unit_rows(table.column("raw"), width), table.column("first")[0].as_py()
         d2 = squares(x, x)
         best = int((d2 <= r * r).sum(1).argmax())
         middle = x[d2[best] <= r * r].mean(0)
@@ -141,7 +147,7 @@ def plan(pivots: int, r: float):
     return run
 
 
-def deal(r: float):
+def deal(r: float, width: str):
     """Rows of a divided cell -> rows of its parts. Parts: cell/0 .. cell/n by pivot, cell/= if it
     is not divided, cell/* for the members of its ball (home) and what may be linked with them."""
     def run(batches):
@@ -155,7 +161,7 @@ def deal(r: float):
                 continue
             for at in range(0, part.num_rows, 2048):
                 rows = part.slice(at, 2048)
-                x, home = unit_rows(rows.column("raw")), rows.column("home").to_numpy(zero_copy_only=False).astype(bool)
+                x, home = unit_rows(rows.column("raw"), width), rows.column("home").to_numpy(zero_copy_only=False).astype(bool)
                 left = np.ones(len(x), dtype=bool)
                 if len(ball):
                     d = np.sqrt(squares(x, ball[None])[:, 0])
@@ -182,32 +188,34 @@ def _members(rows, mask: np.ndarray, cell: str, home) -> pa.RecordBatch:
         names=["cell", "rep", "weight", "home", "raw"])
 
 
-def cells(s: Scratch, reps: DataFrame, r: float, cell: int, pivots: int, sample: int) -> tuple[DataFrame, DataFrame]:
+def cells(s: Scratch, reps: DataFrame, r: float, width: str, cell: int, pivots: int, sample: int) -> tuple[DataFrame, DataFrame]:
     """(rows of cells to be joined, rows of balls), both of MEMBER."""
     open_, done, balls = reps, [], []
     for i in range(ROUNDS):
-        sizes = open_.groupBy("cell").agg(F.sum(F.col("home").cast("long")).alias("homes"), F.count("*").alias("total"))
-        sized = s.table(open_.join(sizes, "cell"), f"sized-{i}")
+        sizes = s.table(open_.groupBy("cell").agg(F.sum(F.col("home").cast("long")).alias("homes"), F.count("*").alias("total")),
+                        f"sizes-{i}")
+        sized = open_.join(sizes, "cell")
         small = (F.col("homes") <= cell) | F.col("cell").endswith("/=") if i else F.col("homes") <= cell
         done.append(sized.where(small).drop("homes", "total"))
-        todo = sized.where(~small)
-        if todo.isEmpty():
+        large = sizes.where(~small)
+        if large.isEmpty():
             break
+        todo = sized.where(~small)
         draw = F.pmod(F.xxhash64("rep", F.lit(i)), F.lit(1 << 40))
         drawn = (todo.where(F.col("home")).withColumn("draw", draw)
                  .where(F.col("draw") < F.lit(float(1 << 40)) * sample / F.col("homes"))
                  .select("cell", "rep", "raw", "draw", F.lit(i == 0).alias("first")))
-        plans = s.table(drawn.groupBy("cell").applyInArrow(plan(pivots, r), "cell string, raw binary"), f"plans-{i}")
+        plans = s.table(drawn.groupBy("cell").applyInArrow(plan(pivots, r, width), "cell string, raw binary"), f"plans-{i}")
         salts = F.ceil(F.col("total") / SALT)
         salted = F.concat_ws("#", "cell", F.pmod(F.xxhash64("rep"), salts))
-        heads = (todo.select("cell", "total").distinct().join(plans, "cell")
+        heads = (large.join(plans, "cell")
                  .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
                  .select(F.concat_ws("#", "cell", "salt").alias("unit"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("rep"),
                          F.lit(0).cast("long").alias("weight"), F.lit(False).alias("home"), "raw"))
         planned = todo.join(plans.select("cell"), "cell", "left_semi")
         done.append(todo.join(plans.select("cell"), "cell", "left_anti").drop("homes", "total"))   # none was drawn
         dealt = s.table(meet(heads, planned.select(salted.alias("unit"), F.lit(1).alias("kind"), "rep", "weight", "home", "raw"),
-                             deal(r), MEMBER), f"dealt-{i}")
+                             deal(r, width), MEMBER), f"dealt-{i}")
         in_ball = F.col("cell").rlike(r"/\*v?$")
         balls.append(dealt.where(in_ball))
         open_ = dealt.where(~in_ball)
@@ -281,7 +289,7 @@ def _found(u, v, n) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), none(v, u), none(n, u)], names=["u", "v", "n"])
 
 
-def join_units(least: float):
+def join_units(least: float, width: str):
     """Rows of FOUND: edges (u, v) and counts (u, n)."""
     def run(batches):
         block, at, held = None, None, []
@@ -303,13 +311,13 @@ def join_units(least: float):
                 if not held:
                     continue
                 rows = pa.Table.from_batches(held)
-                block = Block(unit_rows(rows.column("raw")), rows.column("rep").to_numpy(), rows.column("weight").to_numpy(),
+                block = Block(unit_rows(rows.column("raw"), width), rows.column("rep").to_numpy(), rows.column("weight").to_numpy(),
                               rows.column("home").to_numpy().astype(bool))
                 held = []
             for i in range(0, part.num_rows, STREAM):
                 rows = part.slice(i, STREAM)
                 rep = rows.column("rep").to_numpy()
-                u, v, theirs = block.stream(unit_rows(rows.column("raw")), rep, rows.column("weight").to_numpy(),
+                u, v, theirs = block.stream(unit_rows(rows.column("raw"), width), rep, rows.column("weight").to_numpy(),
                                             least, kind == 3)
                 if len(u):
                     yield _found(u, v, None)
@@ -325,18 +333,18 @@ def near_vectors(df: DataFrame, least: float = LEAST, id_col: str = "vec_id", ve
     """One row per vector: vec_id, n_links, component_id, kept."""
     ship(df.sparkSession)
     s = Scratch(df.sparkSession, "vectors")
-    r = float(np.sqrt(2 - 2 * least))
+    r, width = float(np.sqrt(2 - 2 * least)), width_of(df, vec_col)
     rows = s.table(prepared(df, id_col, vec_col, label_col), "rows")
     reps = s.table(rows.where("cell IS NOT NULL").groupBy("cell", "raw")
                    .agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"))
                    .select("cell", F.col("rep"), "weight", F.lit(True).alias("home"), "raw",
                            F.md5(F.concat(F.col("cell").cast("binary"), F.col("raw"))).alias("key")), "reps")
-    joined, ball = cells(s, reps.drop("key"), r, cell, pivots, sample)
+    joined, ball = cells(s, reps.drop("key"), r, width, cell, pivots, sample)
     near = ball.where(F.col("cell").endswith("v")).withColumn("cell", F.expr("left(cell, length(cell) - 1)"))
     members = ball.where(~F.col("cell").endswith("v"))
     first, stream = blocks(joined.where("home"), joined, block, 0)
     first2, stream2 = blocks(near, members, block, 2)
-    found = s.table(meet(first.unionByName(first2), stream.unionByName(stream2), join_units(least), FOUND), "found")
+    found = s.table(meet(first.unionByName(first2), stream.unionByName(stream2), join_units(least, width), FOUND), "found")
     whole = (members.groupBy("cell").agg(F.sum("weight").alias("n"), F.min("rep").alias("u")))
     within = members.select("cell", "rep").join(whole, "cell")
     edges = (found.where("v IS NOT NULL").select("u", "v")
