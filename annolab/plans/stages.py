@@ -13,13 +13,13 @@ from annolab.operators import profile as P
 from annolab.plans.dataset import build_dataset, stage_counts
 from annolab.sources import tables as TB
 from annolab.session import materialize
-from annolab.sources.annotations import all_records, quarantine, read_files, usable
+from annolab.sources.annotations import quarantine, split_records, usable
 
 
 def build_from_files(spark: SparkSession, root: str, out: str, settings: Settings = DEFAULTS):
     """Entry A: annotation files -> split table (Parquet, by split), the
     quarantine list, stage counters and the class distribution per split."""
-    classified, recs = all_records(spark, read_files(spark, root, settings), root, settings)
+    classified, recs = split_records(spark, root, settings)
     recs = materialize(recs, "records")            # every file is parsed once
     records = usable(recs)
     parts = build_dataset(records, settings)

@@ -12,10 +12,9 @@ array of records, read as whole files and exploded to one row per element.
 An element is parsed on its own, never the file as one value: the size limit of
 a VARIANT holds per record. A key that occurs twice keeps its last value.
 
-Files are the unit of parallelism: many files spread over all tasks. A single
-file is one row (whole-text read), which bounds a file at the 2 GB limit of a
-string, and is parsed by one task: a JSON array has no record boundaries at
-which a reader could split it.
+``read_annotations`` reads a file by as many tasks as it has splits (``arrays.py``). The
+streaming ingest reads files whole: there a file is one row of one task, up to the 2 GB of a
+string.
 """
 
 from __future__ import annotations
@@ -25,6 +24,7 @@ from pyspark.sql import functions as F
 
 from annolab.config import DEFAULTS, Settings
 from annolab.functions.extract import extract_records, last_key_wins
+from annolab.sources.arrays import read_elements
 
 
 def read_files(spark: SparkSession, root: str, settings: Settings = DEFAULTS) -> DataFrame:
@@ -59,11 +59,15 @@ def classify(files: DataFrame, root: str, settings: Settings = DEFAULTS) -> Data
               .when(F.col("texts").isNull() | ~starts, F.when(F.expr("try_parse_json(body)").isNull(), F.lit("malformed"))
                     .otherwise(F.lit("not_a_list")))
               .when(F.size("texts") == 0, F.lit("empty")))
-    rel = below_root(spark, root)
-    return (parsed.withColumn("reason", reason)
-            .withColumn("kind", F.when(rel.contains(settings.consensus_marker), F.lit("consensus"))
-                        .otherwise(F.lit("regular")))
-            .withColumn("filename", F.element_at(F.split(rel, "/"), -1)).drop("body"))
+    return named(parsed.withColumn("reason", reason), root, settings).drop("body")
+
+
+def named(files: DataFrame, root: str, settings: Settings = DEFAULTS) -> DataFrame:
+    """Kind and filename by the path below the root."""
+    rel = below_root(files.sparkSession, root)
+    return (files.withColumn("kind", F.when(rel.contains(settings.consensus_marker), F.lit("consensus"))
+                             .otherwise(F.lit("regular")))
+            .withColumn("filename", F.element_at(F.split(rel, "/"), -1)))
 
 
 def explode_elements(classified: DataFrame) -> DataFrame:
@@ -78,26 +82,45 @@ def explode_elements(classified: DataFrame) -> DataFrame:
                   F.posexplode(F.arrays_zip(F.col("texts").alias("t"), values.alias("v"))).alias("pos", "e"))
           .select("path", "kind", "filename", "pos", F.col("e.t").alias("rec"),
                   F.when(F.col("many"), F.expr("try_parse_json(e.t)")).otherwise(F.col("e.v")).alias("v"), "many"))
+    return unusable(ex).drop("many")
+
+
+def unusable(elements: DataFrame) -> DataFrame:
+    """Add ``bad``: why an element (rec, v, many: v was parsed from rec) is no usable record."""
     kind = F.schema_of_variant("v")
     bad = (F.when(F.col("rec").isNull(), F.lit("not_an_object"))
            .when(F.col("v").isNull(), F.when(F.col("many") & F.col("rec").startswith("{"), F.lit("unparsable"))
                  .otherwise(F.lit("not_an_object")))
            .when(~kind.startswith("OBJECT"), F.lit("not_an_object")))
-    return ex.withColumn("bad", bad).drop("many")
+    return elements.withColumn("bad", bad)
 
 
 def all_records(spark: SparkSession, files: DataFrame, root: str, settings: Settings = DEFAULTS
                 ) -> tuple[DataFrame, DataFrame]:
     """(classified files, every element with text, label_raw, label and bad)."""
     classified = classify(files, root, settings)
-    recs = extract_records(explode_elements(classified), "rec", "v")
+    return classified, extracted(explode_elements(classified))
+
+
+def extracted(elements: DataFrame) -> DataFrame:
+    """Elements with text, label_raw, label and bad."""
+    recs = extract_records(elements, "rec", "v")
     bad = F.coalesce("bad", F.when(F.col("label_raw").isNotNull() & F.col("label").isNull(),
                                    F.lit("label_not_integer")))
-    recs = recs.withColumn("bad", bad).select(
+    return recs.withColumn("bad", bad).select(
         F.sha2(F.concat_ws(":", "path", F.col("pos").cast("string")), 256).alias("doc_id"),
         F.struct("path", "pos").alias("seq"),
         "filename", "kind", "text", "label_raw", "label", "path", "pos", "bad")
-    return classified, recs
+
+
+def split_records(spark: SparkSession, root: str, settings: Settings = DEFAULTS) -> tuple[DataFrame, DataFrame]:
+    """As ``all_records``, every file read by as many tasks as it has splits."""
+    last_key_wins(spark)
+    files, elements = read_elements(spark, root, settings)
+    elements = (elements.withColumn("many", F.col("v").isNull() & F.col("rec").isNotNull())
+                .withColumn("v", F.coalesce("v", F.expr("try_parse_json(rec)"))))
+    return (named(files, root, settings),
+            extracted(named(unusable(elements).drop("many"), root, settings)))
 
 
 def usable(recs: DataFrame) -> DataFrame:
@@ -120,5 +143,5 @@ def read_annotations(spark: SparkSession, root: str, settings: Settings = DEFAUL
                      ) -> tuple[DataFrame, DataFrame]:
     """(records, quarantine). Records: doc_id (sha2 of path:pos), seq (path,
     pos), filename, kind, text, label_raw, label - ready for ``plans.dataset``."""
-    classified, recs = all_records(spark, read_files(spark, root, settings), root, settings)
+    classified, recs = split_records(spark, root, settings)
     return usable(recs), quarantine(classified, recs)
