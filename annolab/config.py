@@ -50,6 +50,11 @@ class Settings:
     embedding_dim: int = 64
     # rank buckets for the stratified split (first hex digits of the row hash)
     split_hash_digits: int = 4
+    # vocabulary of more than so many partitions: rare n-grams are kept back by a sketch of two
+    # tables of so many counters, with a bound from so large a sample
+    sketch_from: int = 64
+    sketch_cells: int = 1 << 20
+    sketch_sample: float = 0.01
     # iterative fits: feature non-zeros per task, and Spark ML's block size (MB)
     fit_nonzeros_per_partition: int = 20_000_000
     fit_block_mb: float = 16.0

@@ -180,6 +180,13 @@ def q_vocabulary(spark, sf_dir):
     return _vocab(spark, sf_dir)[1]
 
 
+@register("vocabulary_pruned", "WITH " + SQL_VOCAB + "\nSELECT term, idx, tf, df FROM vocab")
+def q_vocabulary_pruned(spark, sf_dir):
+    """The same vocabulary with rare n-grams kept back before the shuffle."""
+    fit = spread(dataset(spark, sf_dir)[1].complete.filter(F.col("split").isin("train", "val")))
+    return FE.fit_vocabulary(materialize(fit.select("doc_id", "text"), "vocabulary-input"), "doc_id", "text", DEFAULTS, pruned=True)
+
+
 SQL_DOC_TERMS = SQL_VOCAB + """,
 atok AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}') AS t FROM complete),
 agrams AS (SELECT doc_id, unnest(list_concat(t, CASE WHEN len(t) >= 2
