@@ -6,21 +6,24 @@ is compressed, piece by piece, with every dictionary, and the
 language whose dictionary gives the fewest bytes wins. When the best is not
 clearly better than the second, the row is marked ``rejected``.
 
-Training: a bounded sample per language - at most ``sample_rows`` rows of every
-partition, of the lowest id hashes, and of these ``dict_bytes`` of text per
-language. The dictionaries (languages x dict_bytes) are broadcast; prediction is
-map-only and reads whole texts.
+Training: a bounded sample per language. A training text offers one piece of at most
+``SPAN`` bytes that begins at a hash-chosen place anywhere in it, so all of every text may be
+drawn; pieces are drawn by a hash of id and text, so that about four dictionaries' worth are
+expected, and the lowest hashes fill ``dict_bytes``. What a language has is counted over all
+rows first. Then all dictionaries are cut to the size of the smallest (of those of ``EVEN`` bytes
+or more: a language with hardly any text does not cut the others). Neither the
+order nor the partitions of the rows matter. The dictionaries (languages x dict_bytes) are broadcast;
+prediction is map-only and reads whole texts.
 
 Defined cases: NULL text or text without a letter is ``und`` with score 0; equal
 sizes go to the alphabetically first language; rows whose language is NULL train
 nothing; without any training row every prediction is ``und``; repeated rows are
-predicted alike; other columns are kept.
+predicted alike and enter a dictionary again only when every other piece is in; very long texts are read whole, piece by piece; other columns are
+kept, those named as a result are replaced.
 """
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pyarrow as pa
 import regex
@@ -32,7 +35,8 @@ from pyspark.sql import types as T
 from annolab.llm.common import annotate, as_bytes, once, ship
 
 DICT_BYTES = 96 << 10
-SAMPLE_ROWS = 200          # rows per language and partition
+SPAN = 2048                # bytes of a text that may enter a dictionary
+EVEN = 16 << 10            # size from which a dictionary may cut the others
 MAX_LANGUAGES = 4096       # of the dictionaries that are broadcast (checked)
 PIECE = 4096
 LEVEL = 3
@@ -48,65 +52,51 @@ def fold(text: bytes) -> bytes:
     return b" ".join(text.decode("utf-8", "replace").lower().encode().translate(PLAIN).split())
 
 
-def dictionaries(train: DataFrame, dict_bytes: int = DICT_BYTES, sample_rows: int = SAMPLE_ROWS) -> dict:
-    """{language: bytes}: dict_bytes of text of the rows with the lowest id hashes."""
+def piece_of(text: bytes, h: int, span: int = SPAN) -> bytes:
+    """The folded piece of a text that its hash chooses."""
+    at = h % max(1, len(text) - span + 1)
+    while at and text[at] & 0xC0 == 0x80:                    # not inside a character
+        at -= 1
+    return fold(text[at:at + span].decode("utf-8", "ignore").encode())
+
+
+def dictionaries(train: DataFrame, dict_bytes: int = DICT_BYTES, span: int = SPAN) -> dict:
+    """{language: bytes}"""
     ship(train.sparkSession)
-    base = train.where("lang IS NOT NULL AND text IS NOT NULL").select(
-        F.col("lang").cast("string"), F.xxhash64(F.col("doc_id").cast("string")).alias("h"),
-        F.col("text").cast("string"))
+    h = F.xxhash64(F.col("doc_id").cast("string"), F.col("text").cast("string"))
+    base = train.where("lang IS NOT NULL AND text IS NOT NULL AND text <> ''").select(
+        F.col("lang").cast("string").alias("lang"), F.pmod(h, F.lit((1 << 62))).alias("h"), F.col("text").cast("string").alias("text"))
+    sizes = base.groupBy("lang").agg(F.sum(F.least(F.octet_length("text"), F.lit(span))).alias("bytes"))
+    langs = {r["lang"]: r["bytes"] for r in sizes.limit(MAX_LANGUAGES + 1).collect()}
+    if len(langs) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    share = sizes.select("lang", F.least(F.lit(1.0), F.lit(4.0 * dict_bytes) / F.col("bytes")).alias("share"))
+    drawn = (base.join(share, "lang").where(F.pmod(F.xxhash64("h"), F.lit(1 << 52)) < F.col("share") * F.lit(float(1 << 52)))
+             .select("lang", "h", "text"))
 
-    def sample(batches):
-        best: dict = {}
+    def cut(batches):
         for batch in batches:
-            for lang, h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                     as_bytes(batch.column(2))):
-                heap = best.setdefault(lang, [])
-                row = (-h, fold(text[:dict_bytes // 4])[:dict_bytes // 8])   # a share each, so that texts vary
-                if len(heap) < sample_rows:
-                    heapq.heappush(heap, row)
-                elif row > heap[0]:
-                    heapq.heapreplace(heap, row)
-        for lang, heap in best.items():
-            rows, size = [], 0
-            for h, text in sorted(heap, reverse=True):
-                if size >= dict_bytes:
-                    break
-                rows.append((-h, text))
-                size += len(text)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(rows)), pa.array([r[0] for r in rows], pa.int64()),
-                 pa.array([r[1] for r in rows], pa.binary())], names=["lang", "h", "piece"])
-
-    pieces = base.mapInArrow(sample, "lang string, h long, piece binary")
+            pieces = [piece_of(t, h, span) for h, t in zip(batch.column(1).to_pylist(), as_bytes(batch.column(2)))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(pieces, pa.binary())],
+                                             names=["lang", "h", "piece"])
 
     def join(key, table):
-        rows = sorted(zip(table.column("h").to_pylist(), table.column("piece").to_pylist()))
+        rows = sorted(zip(table.column("h").to_pylist(), table.column("piece").to_pylist(), table.column("n").to_pylist()))
         out = b""
-        for _, piece in rows:
-            if len(out) >= dict_bytes:
-                break
-            out += piece + b"\n"
+        while rows and len(out) < dict_bytes:                # every piece once, then second copies, and so on
+            for _, piece, _ in rows:
+                if len(out) >= dict_bytes:
+                    break
+                out += piece + b"\n"
+            rows = [(h, piece, n - 1) for h, piece, n in rows if n > 1]
         return pa.table({"lang": pa.array([key[0].as_py()]), "content": pa.array([out[:dict_bytes]], pa.binary())})
 
-    # a tree: partitions are merged in groups, so no task sees more than a few hundred samples
-    merged = (pieces.withColumn("part", F.spark_partition_id() % 64)
-              .groupBy("lang", "part").applyInArrow(
-                  lambda key, table: _lowest(key, table, dict_bytes), "lang string, h long, piece binary")
-              .groupBy("lang").applyInArrow(join, "lang string, content binary"))
-    rows = merged.limit(MAX_LANGUAGES + 1).collect()
-    if len(rows) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    return {r["lang"]: bytes(r["content"]) for r in sorted(rows, key=lambda r: r["lang"])}
-
-
-def _lowest(key, table, dict_bytes):
-    rows, size, keep = sorted(zip(table.column("h").to_pylist(), table.column("piece").to_pylist())), 0, 0
-    while keep < len(rows) and size < dict_bytes:
-        size += len(rows[keep][1])
-        keep += 1
-    rows = rows[:keep]
-    return pa.table({"lang": pa.array([key[0].as_py()] * keep), "h": pa.array([r[0] for r in rows], pa.int64()),
-                     "piece": pa.array([r[1] for r in rows], pa.binary())})
+    # a language's group: about 4 dict_bytes, as repeated rows are one with their count
+    pieces = drawn.mapInArrow(cut, "lang string, h long, piece binary").groupBy("lang", "h", "piece").agg(F.count("*").alias("n"))
+    rows = pieces.groupBy("lang").applyInArrow(join, "lang string, content binary").collect()
+    found = {r["lang"]: bytes(r["content"]) for r in sorted(rows, key=lambda r: r["lang"])}
+    even = min([len(c) for c in found.values() if len(c) >= EVEN], default=dict_bytes)
+    return {lang: c[:even] for lang, c in found.items()}
 
 
 class Coder:

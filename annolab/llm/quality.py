@@ -9,14 +9,17 @@ these follow the expected grade and the tail probability P(grade >= cutoff) by
 which documents are selected.
 
 The fit maximises the penalised likelihood (L-BFGS) over a bounded sample of the
-labelled rows: rows are drawn by a hash of their id so that about ``max_rows``
-are expected, and only their hashed features reach the driver. Scoring is
+labelled rows: of the n ratings of an id and grade, n * max_rows / all are drawn (the
+fraction by a hash), so about ``max_rows`` are expected however the ratings are
+spread, and only their hashed features reach the driver. Scoring is
 map-only and reads whole texts; the weights (``buckets`` floats) are broadcast.
 
 Defined cases: NULL and empty texts have no word features and are scored by the
 thresholds; labels with a NULL grade or outside 0..grades-1 are left out; several
-ratings of one id all count; without any usable rating every document is kept
-(tail probability 1); other columns are kept.
+ratings of one id all count, with one of its texts if the id is repeated; without any usable
+rating of a document every document is kept (tail probability 1), and if there are such ratings but
+none is drawn, an error is raised; very long texts are read whole, one at a time; other columns are
+kept, those named as a result are replaced.
 """
 
 from __future__ import annotations
@@ -171,23 +174,33 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int = GRADES, max_rows: int
     n = usable.count()
     if n == 0:
         return None
-    share = int(min(1.0, max_rows / n) * (1 << 20))
-    drawn = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)
-    # bounded by max_rows (in expectation), so the rated ids may be broadcast
-    rated = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(drawn), "doc_id")
+    # of the ratings of an id and grade, their share as whole rows, the rest by a hash: a document
+    # with many ratings gets its share of the draw, not all of it or nothing
+    share = min(1.0, max_rows / n)
+    by_hash = F.pmod(F.xxhash64("doc_id", "grade"), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    drawn = (usable.groupBy("doc_id", "grade").agg(F.count("*").alias("n"))
+             .withColumn("rows", F.floor(F.col("n") * F.lit(share) + by_hash).cast("int")).where("rows > 0"))
+    # one text of each drawn id
+    texts = (docs.select("doc_id", F.col("text").cast("string").alias("text"))
+             .join(drawn.select("doc_id").distinct(), "doc_id", "left_semi")
+             .groupBy("doc_id").agg(F.min_by("text", F.struct(F.col("text").isNull(), F.xxhash64("text"))).alias("text")))
+    rated = texts.join(drawn, "doc_id")
 
     def hashed(batches):
         features = Features(buckets)
         for batch in batches:
             rows = [features.of(t).astype(np.int32).tobytes() for t in as_bytes(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), batch.column(1), batch.column(2)],
-                                             names=["f", "grade", "h"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), *batch.columns[1:]],
+                                             names=["f", "grade", "h", "rows"])
 
-    rows = (rated.select("text", "grade", F.xxhash64("doc_id", "text").alias("h"))
-            .mapInArrow(hashed, "f binary, grade int, h long").toArrow())
+    rows = (rated.select("text", "grade", F.xxhash64("doc_id", "text").alias("h"), "rows")
+            .mapInArrow(hashed, "f binary, grade int, h long, rows int").toArrow())
     order = np.lexsort((rows.column("grade").to_numpy(), rows.column("h").to_numpy()))
+    order = np.repeat(order, rows.column("rows").to_numpy()[order])
     y = rows.column("grade").to_numpy()[order].astype(np.int64)
-    if len(y) == 0:
+    if len(y) == 0:                                          # none of the drawn ids is in docs
+        if texts.isEmpty() and not usable.join(docs.select("doc_id"), "doc_id", "left_semi").isEmpty():
+            raise ValueError(f"none of {n} ratings drawn: raise max_rows")
         return None
     sets = rows.column("f").to_pylist()
     lens = np.array([len(sets[i]) // 4 for i in order])

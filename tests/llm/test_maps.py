@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import zstandard
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -87,6 +88,26 @@ def test_quality_cases(spark):
     assert quality.score(docs.limit(0), None).collect() == []
 
 
+def test_quality_draw_follows_the_ratings(spark):
+    """A document with most of the ratings gets its share of the draw; texts repeated under an id
+    do not multiply it; nothing drawn is an error."""
+    ratings = spark.range(60_000).select(F.when(F.col("id") < 50_000, 7).otherwise(F.col("id")).alias("doc_id"),
+                                         (F.col("id") % 3).cast("int").alias("grade"))
+    docs = spark.range(49_990, 60_000).select(F.when(F.col("id") < 50_000, 7).otherwise(F.col("id")).alias("doc_id"),
+                                              F.concat(F.lit("word"), F.col("id") % 10).alias("text"))
+    seen = []
+    before = quality.minimise
+    quality.minimise = lambda f, x, n: seen.append(f.__closure__) or before(f, x, 1)
+    try:
+        model = quality.fit(docs, ratings, max_rows=1000)
+    finally:
+        quality.minimise = before
+    rows = {c.cell_contents.shape for c in seen[0] if isinstance(c.cell_contents, np.ndarray)}
+    assert model is not None and any(900 < s[0] < 1100 for s in rows)
+    with pytest.raises(ValueError):
+        quality.fit(docs, ratings, max_rows=0)
+
+
 # ------------------------------------------------------------------ op4
 def best_sum(v, text):
     """Best sum of scores over all segmentations, position by position."""
@@ -258,3 +279,33 @@ def test_few_candidates(spark):
 def test_crc_fold(spark):
     import zlib
     assert spark.sql("select 12 as doc_id").select(common.crc_mod("doc_id", 10)).first()[0] == zlib.crc32(b"12") % 10
+
+
+def test_dictionaries_do_not_depend_on_the_layout(spark):
+    docs = spark.read.parquet(f"/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    docs = docs.unionByName(docs.where("doc_id % 3 = 0"))                # a third of the rows twice
+    one, many = (langid.dictionaries(docs.repartition(n), dict_bytes=20_000) for n in (1, 13))
+    assert one == many and {len(c) for c in one.values()} == {20_000}
+    short = spark.createDataFrame([(i, f"wort {i} und mehr", "de") for i in range(3000)], "doc_id long, text string, lang string")
+    assert len({langid.dictionaries(short.repartition(n), dict_bytes=8000)["de"] for n in (1, 8)}) == 1
+
+
+def test_pieces_come_from_whole_texts():
+    text = ("a" * 30_000 + "é" * 5_000 + "z" * 30_000).encode()
+    got = {langid.piece_of(text, h * 7919)[:1] for h in range(400)}
+    assert got == {b"a", "é".encode()[:1], b"z"} and langid.piece_of("ü".encode(), 5, 1) in (b"", "ü".encode())
+
+
+def test_smallest_compressed_size_wins():
+    """Sizes by plain compression calls, without the operator's coder."""
+    content = {"aa": b"the cat sat on the mat and the dog ran " * 40, "bb": "der hund und die katze sind im haus ".encode() * 40}
+    coder = langid.Coder(content)
+    for text in (b"the dog sat on the cat", "die katze und der hund".encode(), b"zzz qqq", b"The, mat! " * 700):
+        folded = langid.fold(text)
+        want = []
+        for lang in ("aa", "bb"):
+            d = zstandard.ZstdCompressionDict(content[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            c = zstandard.ZstdCompressor(dict_data=d, level=langid.LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False)
+            want.append(sum(len(c.compress(folded[i:i + langid.PIECE])) for i in range(0, len(folded), langid.PIECE)))
+        assert coder.sizes(folded) == want
+        assert coder.predict(text)[0] == ("aa" if want[0] <= want[1] else "bb")

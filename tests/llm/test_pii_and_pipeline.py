@@ -8,6 +8,9 @@ import pytest
 
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
+from annolab.session import materialize
 from annolab.llm import decontaminate, minhash, pieces, pii, quality, queries
 
 SF = "/root/testdata/sf0.001"
@@ -129,8 +132,9 @@ def test_quality_stage(spark, steps):
 
 def test_near_duplicate_stage(steps):
     before = {r.doc_id: r.text for r in steps[1].collect() if r.doc_id is not None}
-    want = minhash.brute_force(list(before.items()))
-    keep = {i for i, (_, c) in want.items() if c == i}
+    rows = list(before.items())
+    want = [minhash.brute_force(rows, shingle, need) for shingle, need in corpus_pipeline.LINKS]
+    keep = {i for i in before if all(w[i][1] == i for w in want)}
     assert {i for i in ids(steps[2]) if i is not None} == keep and len(keep) < len(before)
     assert ids(steps[2]).count(None) == ids(steps[1]).count(None)
 
@@ -169,7 +173,7 @@ def test_run_and_registration(spark):
     import __spark_entry__ as E
     names = E.queries()
     assert "pipeline" in names
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert set(queries.QUERIES) <= set(names)
 
 
@@ -179,3 +183,16 @@ def test_empty_pipeline(spark):
         df = stage(spark, df, SF)
         assert df.count() == 0
 
+
+
+def test_columns_of_any_name_pass_through(spark):
+    """Columns that operators use for results come out as they went in."""
+    names = ["base", "spans", "keep", "items", "n_words", "n_hit", "hit_words", "p_tail", "expected_grade", "component_id", "chunk", "__text"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    for n in names:
+        docs = docs.withColumn(n, F.concat(F.lit(n + " of "), F.col("doc_id").cast("string")))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = materialize(stage(spark, docs, SF))
+        rows = docs.collect()
+        assert rows and all(r[n] == f"{n} of {r.doc_id}" for r in rows for n in names)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == len(rows)
