@@ -32,11 +32,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _aside(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and every column of docs under a name that no operator uses."""
+    return docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(f"__doc_{i}") for i, c in enumerate(docs.columns)])
+
+
+def _back(found: DataFrame, docs: DataFrame, **new) -> DataFrame:
+    """The columns of docs, those in ``new`` replaced."""
+    return found.select(*[new.get(c, F.col(f"__doc_{i}")).alias(c) for i, c in enumerate(docs.columns)])
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are good (grade 2) with probability 1/2 or more; the rest goes."""
     ratings = _table(spark, sf_dir, "labels").select("doc_id", quality.grade_of().alias("grade"))
     model = quality.fit(docs, ratings)
-    return quality.score(docs, model).where("keep").select(*docs.columns)
+    return _back(quality.score(_aside(docs), model).where("keep"), docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,27 +55,28 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     gone = [minhash.near_duplicates(docs, shingle, need).where(~F.col("kept")).select("doc_id")
             for shingle, need in LINKS]
     gone = reduce(DataFrame.unionByName, gone).distinct()
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a word inside a benchmark window."""
-    found = decontaminate.find_contamination(docs, _table(spark, sf_dir, "benchmark"))
-    return found.where("n_hit = 0").select(*docs.columns)
+    found = decontaminate.find_contamination(_aside(docs), _table(spark, sf_dir, "benchmark"))
+    return _back(found.where("n_hit = 0"), docs)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind; n_chars follows the new text."""
-    clean = pii.redact(docs)
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        clean = clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(
-            F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return clean.select(*docs.columns)
+        new["n_chars"] = F.when(F.col("text").isNull(), F.col(f"__doc_{docs.columns.index('n_chars')}")).otherwise(
+            F.length("text").cast(docs.schema["n_chars"].dataType))
+    return _back(pii.redact(_aside(docs)), docs, **new)
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of each text."""
-    return pieces.encode(docs, pieces.read_model()).select("doc_id", "lang", "source", "n_tokens", "ids")
+    known = docs.select("doc_id", "text", "lang", "source")
+    return pieces.encode(known, pieces.read_model()).select("doc_id", "lang", "source", "n_tokens", "ids")
 
 
 STAGES = [
