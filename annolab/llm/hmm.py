@@ -45,6 +45,8 @@ ENDINGS = 1024            # shared symbols
 HEAVY = 200_000           # words broadcast with their counts
 ITERATIONS = 5
 TOKENS = 400_000          # of a batch of lanes
+SCALED = 8                # steps from scaling to scaling
+BLOCK = 1 << 16           # tokens summed at once
 FLUSH = 300_000           # distinct words a task holds while counting
 SEQUENCES = ("row long, doc_id long, held_out boolean, train boolean, n_tokens long, n_known long, "
              "log_heavy double, log_inside double, symbols binary, tail array<binary>")
@@ -194,47 +196,74 @@ def lanes(seqs: list):
     return order, grid, active
 
 
-def forward(m: Model, grid, active, keep: bool):
-    """Log10 likelihood per lane; the scaled states and scales of each step."""
-    emit = np.ascontiguousarray(m.emit.T)
-    total = np.zeros(grid.shape[1])
-    a, alphas, scales = None, [], []
-    for t in range(len(grid)):
-        n = int(active[t])
-        e = emit[grid[t, :n]]
-        a = (m.start * e) if a is None else (a[:n] @ m.move) * e
-        c = a.sum(axis=1)
-        a = a / c[:, None]
-        total[:n] += np.log10(c)
-        if keep:
-            alphas.append(a)
-            scales.append(c)
-    return total, alphas, scales
+def steps_of(grid, active):
+    """Symbols of all lanes in the order of the steps; the place of each step's first."""
+    at = np.concatenate([[0], np.cumsum(active)])
+    sym = np.concatenate([grid[t, :n] for t, n in enumerate(active.tolist())])
+    return sym, at.tolist()
+
+
+def forward(m: Model, sym, at):
+    """Log10 likelihood per lane; emissions, scaled states and scales by step and lane. States
+    are scaled at every ``SCALED``-th step and where a lane ends: a double holds the product of
+    some steps."""
+    emit = np.ascontiguousarray(m.emit.T).take(sym, axis=0)
+    alpha, scale = np.empty_like(emit), np.ones(len(sym))
+    total = np.zeros(at[1])
+    for t in range(len(at) - 1):
+        a, b = at[t], at[t + 1]
+        now = alpha[a:b]
+        if t:
+            np.matmul(alpha[at[t - 1]:at[t - 1] + b - a], m.move, out=now)
+            now *= emit[a:b]
+        else:
+            np.multiply(m.start, emit[a:b], out=now)
+        low = _scaled(at, t)
+        if low < b:
+            c = now[low - a:].sum(axis=1)
+            now[low - a:] /= c[:, None]
+            scale[low:b] = c
+            total[low - a:b - a] += np.log10(c)
+    return total, emit, alpha, scale
+
+
+def _scaled(at: list, t: int) -> int:
+    """The place from which on the lanes of a step are scaled."""
+    if t % SCALED == SCALED - 1:
+        return at[t]
+    return at[t] + (at[t + 2] - at[t + 1] if t + 2 < len(at) else 0)
 
 
 def expected(m: Model, seqs: list):
     """Expected starts, transitions and emissions of the sequences (Baum-Welch)."""
     _, grid, active = lanes(seqs)
-    total, alphas, scales = forward(m, grid, active, True)
-    k = len(m.start)
-    emit = np.ascontiguousarray(m.emit.T)
-    move, out = np.zeros((k, k)), np.zeros_like(m.emit)
-    beta, gammas, seen = None, [], []
-    for t in range(len(grid) - 1, -1, -1):
-        n = int(active[t])
-        now = np.ones((n, k))
-        if beta is not None:
-            more = len(beta)
-            w = emit[grid[t + 1, :more]] * beta / scales[t + 1][:, None]
-            move += alphas[t][:more].T @ w
-            now[:more] = w @ m.move.T
-        beta = now
-        gammas.append(alphas[t] * beta)
-        seen.append(grid[t, :n])
-    sym, gamma = np.concatenate(seen), np.concatenate(gammas)
-    for j in range(k):
-        out[j] = np.bincount(sym, weights=gamma[:, j], minlength=out.shape[1])
-    return gammas[-1].sum(axis=0), move * m.move, out, float(total.sum())
+    sym, at = steps_of(grid, active)
+    total, emit, alpha, scale = forward(m, sym, at)
+    k, n = len(m.start), len(sym)
+    beta, back = np.ones_like(alpha), np.ascontiguousarray(m.move.T)
+    for t in range(len(at) - 2, 0, -1):
+        a, b = at[t], at[t + 1]
+        w = emit[a:b]                                        # becomes what the step sends back
+        w *= beta[a:b]
+        low = _scaled(at, t)
+        if low < b:
+            emit[low:b] /= scale[low:b, None]
+        np.matmul(w, back, out=beta[at[t - 1]:at[t - 1] + b - a])
+    # each token after the first of its lane, and the one before it
+    size = np.diff(at)
+    before = np.arange(at[1], n) - np.repeat(size[:-1], size[1:])
+    move = np.zeros((k, k))
+    for i in range(0, len(before), BLOCK):
+        move += alpha.take(before[i:i + BLOCK], axis=0).T @ emit[at[1] + i:at[1] + i + BLOCK]
+    alpha *= beta                                            # now the states' probabilities
+    start = alpha[:at[1]].sum(axis=0)
+    out = np.zeros_like(m.emit)
+    order = np.argsort(sym, kind="stable")
+    for i in range(0, n, BLOCK):
+        own = order[i:i + BLOCK]
+        heads = np.flatnonzero(np.r_[True, np.diff(sym[own]) != 0])
+        out[:, sym[own[heads]]] += np.add.reduceat(alpha.take(own, axis=0), heads, axis=0).T
+    return start, move * m.move, out, float(total.sum())
 
 
 def batched(batches, at: int):
@@ -308,7 +337,7 @@ def forward_scores(shared):
         m = shared.value
         for part in batched(batches, 1):
             order, grid, active = lanes([r[0] for r in part])
-            total, _, _ = forward(m, grid, active, False)
+            total = forward(m, *steps_of(grid, active))[0]
             rows = [part[i] for i in order.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array([r[1].column(0)[r[2]].as_py() for r in rows], pa.int64()),
                                               pa.array(total)], names=["row", "log_hmm"])
