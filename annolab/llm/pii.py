@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,24 +71,47 @@ AGAINST = r"(?i)\b(?:isbn|order|invoice|version|section|serial|no|nr|id|ref|page
 LABELERS = ("strict", "listed", "context", "shape", "edge")
 FEATURES = ("size", "digits", "alone")
 ACCEPT = 0.9
-SPAN = "array<struct<start:int,end:int,text:string>>"
+BLOCK = 512                # matches summed up at once
+PLACES = 26                # bits of the number of matches of a text
+SPAN = "array<struct<start:int,end:int,text:string,before:string,next:string>>"
+BEFORE = 32                # characters of context
 
 
-def matches(text: Column, pattern: str, hint: str) -> Column:
-    """Spans (start, end, text) of the non-overlapping matches: the pieces between
-    matches give the positions."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    sized = F.zip_with(F.split(text, pattern, -1), found,
-                       lambda p, f: F.struct(F.length(p).alias("gap"), F.length(f).alias("n"), f.alias("t")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+def matches(df: DataFrame, out: str, pattern: str, hint: str) -> DataFrame:
+    """df plus ``out``: spans (start, end, text, the characters before, the next one) of the
+    non-overlapping matches in ``__text``. The pieces between matches give the positions and the
+    surroundings, as reading at a position of a long text costs the way to it; they are
+    summed up in blocks, so that an array that grows by one element is never long."""
+    text = F.col("__text")
+    none = F.array().cast(SPAN)
+    df = (df.withColumn("__found", F.when(text.rlike(hint), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))))
+          .withColumn("__pieces", F.when(F.size("__found") > 0, F.split(text, pattern, -1))))
+    pairs = F.zip_with("__pieces", "__found", lambda p, f: F.struct(p.alias("p"), f.alias("t")))
+    follow = F.slice(pairs, 2, F.size("__pieces"))
+    sized = F.zip_with(pairs, follow, lambda x, y: F.struct(
+        x["p"].alias("p"), x["t"].alias("t"),
+        F.substring(F.concat(F.substring(y["p"], 1, 1), F.coalesce(y["t"], F.lit(""))), 1, 1).alias("next")))
 
     def step(acc, x):
-        a = acc["at"] + x["gap"]
-        span = F.struct(a.alias("start"), (a + x["n"]).alias("end"), x["t"].alias("text"))
-        return F.struct((a + x["n"]).alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
-
-    walked = F.aggregate(F.filter(sized, lambda x: x["t"].isNotNull()), start, step, lambda acc: acc["out"])
-    return F.when(text.rlike(hint), walked).otherwise(F.array().cast(SPAN))
+        a, n = acc["at"] + F.length(x["p"]), F.length(x["t"])
+        near = F.right(F.concat(acc["near"], F.right(x["p"], F.lit(BEFORE))), F.lit(BEFORE))
+        span = F.struct(a.alias("start"), (a + n).alias("end"), x["t"].alias("text"), near.alias("before"), x["next"].alias("next"))
+        return F.struct((a + n).alias("at"), F.right(F.concat(near, x["t"]), F.lit(BEFORE)).alias("near"),
+                        F.concat(acc["out"], F.array(span)).alias("out"))
+
+    def block(acc, part):
+        own = F.aggregate(part, F.struct(acc["at"].alias("at"), acc["near"].alias("near"), none.alias("out")), step)
+        return F.transform(F.array(own), lambda o: F.struct(
+            o["at"].alias("at"), o["near"].alias("near"), F.concat(acc["out"], F.array(o["out"])).alias("out")))[0]
+
+    df = df.withColumn("__sized", F.filter(sized, lambda x: x["t"].isNotNull()))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size("__sized") - 1) / BLOCK).cast("int")),
+                         lambda b: F.slice("__sized", b * BLOCK + 1, BLOCK))
+    df = df.withColumn("__blocks", F.when(F.size("__sized") > 0, blocks))
+    walked = F.aggregate("__blocks", F.struct(F.lit(0).alias("at"), F.lit("").alias("near"),
+                                                  F.array().cast(f"array<{SPAN}>").alias("out")),
+                         block, lambda acc: F.flatten(acc["out"]))
+    return df.withColumn(out, F.coalesce(walked, none)).drop("__found", "__pieces", "__sized", "__blocks")
 
 
 def digits(t: Column) -> Column:
@@ -116,8 +140,8 @@ def with_base(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs plus __text (NULL as empty) and the array __<kind> of the base spans."""
     out = docs.withColumn("__text", F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
     for kind in KINDS:
-        out = out.withColumn(f"__{kind}", matches(F.col("__text"), PATTERNS[kind], HINTS[kind] if kind == "email" else (
-            r"\+[0-9]" if kind == "phone" else r"[0-9]")))
+        out = matches(out, f"__{kind}", PATTERNS[kind], HINTS[kind] if kind == "email" else (
+            r"\+[0-9]" if kind == "phone" else r"[0-9]"))
     for kind in KINDS:
         out = out.withColumn(f"__{kind}", checked(kind))
     return out
@@ -127,22 +151,26 @@ def checked(kind: str) -> Column:
     return F.filter(f"__{kind}", lambda s: valid(kind, s["text"]))
 
 
+def overlaps(spans: str, c: Column) -> Column:
+    """Does a span overlap one of an array's, which are in order and apart? The number of those
+    that end before it is found bit by bit."""
+    steps = F.array(*[F.lit(1 << k) for k in range(PLACES, -1, -1)])
+    before = F.aggregate(steps, F.lit(0), lambda n, step: F.when(
+        F.get(F.col(spans), n + step - 1)["end"] <= c["start"], n + step).otherwise(n))
+    return F.coalesce(F.get(F.col(spans), before)["start"] < c["end"], F.lit(False))
+
+
 def candidates(kind: str) -> Column:
     """Loose matches that overlap no base span."""
-    base = F.concat(*[F.col(f"__{k}") for k in KINDS])
-    return F.filter(matches(F.col("__text"), LOOSE[kind], HINTS[kind]), lambda c: ~F.exists(
-        base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    return F.filter(f"__{kind}_loose", lambda c: ~reduce(lambda a, b: a | b, [
+        F.when(F.size(f"__{k}") > 0, overlaps(f"__{k}", c)).otherwise(F.lit(False)) for k in KINDS]))
 
 
 def judged(kind: str, spans: Column, base: bool) -> Column:
     """Spans with the labelers' votes and the classifier's features."""
-    text = F.col("__text")
-
     def one(s):
-        t = s["text"]
-        before = F.substring(text, F.greatest(s["start"] - 31, F.lit(1)), F.least(s["start"], F.lit(32)))
-        around = F.concat(F.substring(text, s["start"], F.when(s["start"] > 0, 1).otherwise(0)), F.lit("|"),
-                          F.substring(text, s["end"] + 1, F.lit(1)))
+        t, before = s["text"], s["before"]
+        around = F.concat(F.right(before, F.lit(1)), F.lit("|"), s["next"])
         n = F.length(digits(t))
         shape = {"email": F.length(t).between(6, 64), "ip": F.length(t).between(7, 15), "card": n == 16,
                  "phone": n.between(10, 13)}[kind]
@@ -163,6 +191,8 @@ def judged(kind: str, spans: Column, base: bool) -> Column:
 def all_judged(base: DataFrame) -> DataFrame:
     """base plus, per kind, __<kind>_all: base spans and candidates with votes."""
     out = base
+    for kind in KINDS:
+        out = matches(out, f"__{kind}_loose", LOOSE[kind], HINTS[kind])
     for kind in KINDS:
         out = out.withColumn(f"__{kind}_loose", candidates(kind))
     for kind in KINDS:
