@@ -203,10 +203,11 @@ def steps_of(grid, active):
     return sym, at.tolist()
 
 
-def forward(m: Model, sym, at):
-    """Log10 likelihood per lane; emissions, scaled states and scales by step and lane. States
-    are scaled at every ``SCALED``-th step and where a lane ends: a double holds the product of
+def forward(m: Model, grid, active, keep: bool):
+    """Log10 likelihood per lane; with ``keep`` also the places and symbols, and emissions, scaled
+    states and scales by step and lane. States are scaled at every ``SCALED``-th step and where a lane ends: a double holds the product of
     some steps."""
+    sym, at = steps_of(grid, active)
     emit = np.ascontiguousarray(m.emit.T).take(sym, axis=0)
     alpha, scale = np.empty_like(emit), np.ones(len(sym))
     total = np.zeros(at[1])
@@ -224,7 +225,7 @@ def forward(m: Model, sym, at):
             now[low - a:] /= c[:, None]
             scale[low:b] = c
             total[low - a:b - a] += np.log10(c)
-    return total, emit, alpha, scale
+    return total, (sym, at) if keep else None, (emit, alpha, scale) if keep else None
 
 
 def _scaled(at: list, t: int) -> int:
@@ -237,8 +238,7 @@ def _scaled(at: list, t: int) -> int:
 def expected(m: Model, seqs: list):
     """Expected starts, transitions and emissions of the sequences (Baum-Welch)."""
     _, grid, active = lanes(seqs)
-    sym, at = steps_of(grid, active)
-    total, emit, alpha, scale = forward(m, sym, at)
+    total, (sym, at), (emit, alpha, scale) = forward(m, grid, active, True)
     k, n = len(m.start), len(sym)
     beta, back = np.ones_like(alpha), np.ascontiguousarray(m.move.T)
     for t in range(len(at) - 2, 0, -1):
@@ -337,7 +337,7 @@ def forward_scores(shared):
         m = shared.value
         for part in batched(batches, 1):
             order, grid, active = lanes([r[0] for r in part])
-            total = forward(m, *steps_of(grid, active))[0]
+            total, _, _ = forward(m, grid, active, False)
             rows = [part[i] for i in order.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array([r[1].column(0)[r[2]].as_py() for r in rows], pa.int64()),
                                               pa.array(total)], names=["row", "log_hmm"])
