@@ -71,7 +71,8 @@ def dictionaries(train: DataFrame, dict_bytes: int = DICT_BYTES, span: int = SPA
     if len(langs) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     share = sizes.select("lang", F.least(F.lit(1.0), F.lit(4.0 * dict_bytes) / F.col("bytes")).alias("share"))
-    drawn = (base.join(share, "lang").where(F.pmod(F.xxhash64("h"), F.lit(1 << 52)) < F.col("share") * F.lit(float(1 << 52)))
+    # at most MAX_LANGUAGES rows, as just checked
+    drawn = (base.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("h"), F.lit(1 << 52)) < F.col("share") * F.lit(float(1 << 52)))
              .select("lang", "h", "text"))
 
     def cut(batches):

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from annolab.llm.common import annotate, as_bytes, once, ship
+from annolab.session import materialize
 
 BUCKETS = 1 << 16
 MAX_ROWS = 20_000
@@ -180,9 +181,12 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int = GRADES, max_rows: int
     by_hash = F.pmod(F.xxhash64("doc_id", "grade"), F.lit(1 << 52)) / F.lit(float(1 << 52))
     drawn = (usable.groupBy("doc_id", "grade").agg(F.count("*").alias("n"))
              .withColumn("rows", F.floor(F.col("n") * F.lit(share) + by_hash).cast("int")).where("rows > 0"))
-    # one text of each drawn id
+    drawn = materialize(drawn, "drawn")
+    if drawn.count() > 4 * max_rows + 1000:
+        raise ValueError(f"{n} ratings gave many more than {max_rows} drawn ids")
+    # one text of each drawn id; the ids' number is checked, so they may be broadcast
     texts = (docs.select("doc_id", F.col("text").cast("string").alias("text"))
-             .join(drawn.select("doc_id").distinct(), "doc_id", "left_semi")
+             .join(F.broadcast(drawn.select("doc_id").distinct()), "doc_id", "left_semi")
              .groupBy("doc_id").agg(F.min_by("text", F.struct(F.col("text").isNull(), F.xxhash64("text"))).alias("text")))
     rated = texts.join(drawn, "doc_id")
 
