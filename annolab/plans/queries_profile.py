@@ -11,6 +11,7 @@ from annolab.operators import features as FE
 from annolab.operators import history as H
 from annolab.operators import metrics as M
 from annolab.operators import profile as P
+from annolab.operators import selection as SEL
 from annolab.operators import split as S
 from annolab.plans import evaluation as EV
 from annolab.plans.catalog import SQL_ANNOTATED, SQL_SPLIT, dataset, register
@@ -74,6 +75,14 @@ def q_length_stats(spark, sf_dir):
     return P.length_stats(T.corpus(spark, sf_dir))
 
 
+@register("value_median", """
+SELECT round(median(value), 6) AS median_value, count(value) AS n FROM events""")
+def q_value_median(spark, sf_dir):
+    """The exact median of a column with as many values as rows."""
+    e = T.table(spark, sf_dir, "events")
+    return e.agg(F.round(F.lit(SEL.exact_median(e, "value", few=100)), 6).alias("median_value"), F.count("value").alias("n"))
+
+
 # A09
 @register("length_histogram", W(SQL_CORPUS, """
 l AS (SELECT CAST(length(text) AS BIGINT) AS len FROM corpus)""", """
