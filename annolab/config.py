@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass, fields
 
 
 @dataclass(frozen=True)
@@ -59,5 +60,14 @@ class Settings:
     fit_nonzeros_per_partition: int = 20_000_000
     fit_block_mb: float = 16.0
 
+    def to_json(self) -> str:
+        return json.dumps(asdict(self))
+
+    @classmethod
+    def from_json(cls, text: str) -> "Settings":
+        """Fields that are not known any more are left out, missing ones have their default."""
+        known = {f.name for f in fields(cls)}
+        return cls(**{k: tuple(v) if isinstance(v, list) else v for k, v in json.loads(text).items() if k in known})
+
 
 DEFAULTS = Settings()

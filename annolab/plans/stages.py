@@ -70,6 +70,8 @@ def train_and_evaluate_ordinal(spark: SparkSession, table: str, out: str, settin
                         .select("doc_id", "text", "label", "split"), f"{out}/embeddings", settings=settings)
     rows = materialize(rows, "embedded")
     run = fit_validated(rows, "embedding", "label", settings, hidden, ordinal=True, iterations=iterations)
+    for net in (run.best, run.last):                         # inference embeds as the fit did
+        net.config = net.config | {"encoder": "hashing", "settings": settings.to_json()}
     run.best.save(spark, f"{out}/ordinal_model")
     run.last.save(spark, f"{out}/ordinal_final_model")
     TB.append_history(run.history(spark, run_id), f"{out}/ordinal_history")
@@ -89,7 +91,7 @@ def texts_frame(spark: SparkSession, texts: list[str]):
 
 def infer(spark: SparkSession, texts, models: str, out: str | None = None, settings: Settings = DEFAULTS):
     """Entry D (M16): score texts (a list, or a table with doc_id and text) with every
-    saved model below ``models`` that exists; returns (table, agreement rate). The table
+    saved model below ``models`` that exists, with the settings saved with it; returns (table, agreement rate). The table
     has a preview, a prediction and a confidence per model, and whether they agree; it is
     written as CSV if ``out`` is given."""
     from annolab.operators import compare as CMP
@@ -102,8 +104,9 @@ def infer(spark: SparkSession, texts, models: str, out: str | None = None, setti
         s = BaselineModel.load(f"{models}/baseline_model", settings).transform(rows)
         scored["Baseline"] = s.select("doc_id", "predicted", F.element_at("probs", F.col("predicted")).alias("confidence"))
     if TB.exists(spark, f"{models}/ordinal_model"):
-        embedded = cached_embed(rows, None, settings=settings).select("doc_id", "embedding")
-        scored["MLP"] = Network.load(spark, f"{models}/ordinal_model").transform(embedded)
+        net = Network.load(spark, f"{models}/ordinal_model")
+        own = Settings.from_json(net.config["settings"]) if "settings" in net.config else settings
+        scored["MLP"] = net.transform(cached_embed(rows, None, settings=own).select("doc_id", "embedding"))
     wide = CMP.wide_predictions(CMP.long_predictions(scored, spark=spark), list(scored))
     table = rows.select("doc_id", P.truncate("text", settings.inference_preview_chars).alias("text")) \
         .join(CMP.agreement(wide), "doc_id", "left" if not scored else "inner")

@@ -113,7 +113,7 @@ def test_stages_from_files_to_agreement(spark, tmp_path):
 
     net = ST.train_and_evaluate_ordinal(spark, f"{out}/complete", out, s, hidden=(8,), iterations=20).first()
     assert net.n == 12 and net.accuracy > 0.5
-    table, rate = ST.infer(spark, texts, out, str(tmp_path / "csv"), s)
+    table, rate = ST.infer(spark, texts, out, str(tmp_path / "csv"))      # the models bring their settings
     rows = {r.doc_id: r for r in table.collect()}
     assert rows[0].Baseline_prediction == 3 and rows[1].Baseline_prediction == 1
     assert rows[2].text == "x" * 100 + "..." and rows[0].detail.startswith("Baseline: 3, MLP: ")
