@@ -47,7 +47,7 @@ from annolab.llm.common import once, ship
 A_FILE = "/opt/tokenizers/byte_bpe_50k.json"
 B_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 HEAVY = 1 << 19            # broadcast pairs, 17 bytes each
-PACK_BYTES = 2 << 20       # text bytes per pack
+PACK_BYTES = 1 << 20       # text bytes per pack
 PACK_DOCS = 8192
 #: how the byte-level file splits a text before merging (fixed value, as in /opt/tokenizers)
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -237,13 +237,15 @@ def _packs(batches):
     """Lists of (ids, texts) of bounded size."""
     ids, texts, size = [], [], 0
     for batch in batches:
-        for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if ids and (size + len(t or "") > PACK_BYTES or len(ids) >= PACK_DOCS):
-                yield ids, texts
-                ids, texts, size = [], [], 0
-            ids.append(i)
-            texts.append(t)
-            size += len(t or "")
+        for at in range(0, batch.num_rows, 256):             # few texts as objects at once
+            part = batch.slice(at, 256)
+            for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                if ids and (size + len(t or "") > PACK_BYTES or len(ids) >= PACK_DOCS):
+                    yield ids, texts
+                    ids, texts, size = [], [], 0
+                ids.append(i)
+                texts.append(t)
+                size += len(t or "")
     if ids:
         yield ids, texts
 
