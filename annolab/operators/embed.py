@@ -3,9 +3,10 @@
 The reference runs a frozen sentence encoder in batches of 32. Here the
 encoder is pluggable:
 
-* default: a JVM-side hashing encoder - each n-gram of the text adds +1 or -1
+* default: a hashing encoder - each n-gram of the text adds +1 or -1
   (by the md5 of the n-gram) to one of ``embedding_dim`` buckets, and the vector is
-  L2-normalised; map-only, no Python;
+  L2-normalised; map-only: tokens by Spark, their n-grams numbered and counted by numpy in
+  Arrow batches, each distinct one of a slice hashed once;
 * any Python callable ``encode(list[str]) -> np.ndarray[n, d]`` runs in an
   iterator ``mapInPandas``: the encoder is built once per task and fed
   sub-batches of ``batch_size`` texts (Arrow batches in between).
@@ -17,49 +18,83 @@ whose key is missing (left-anti join) are encoded, then appended.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import CountVectorizerModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annolab.config import DEFAULTS, Settings
-from annolab.operators import features as FE
-from annolab.session import materialize
+from annolab.functions.text import tokens
+from annolab.session import materialize, ship_package
 
 HASHING_MODEL = "hashing-ngrams"
+SLICE = 1 << 20            # tokens whose n-grams are numbered together
 CACHE = "text_sha string, embedding array<double>, model_name string, params string"
 
 
-def gram_slot(gram: Column, dim: int) -> Column:
-    """Signed bucket of an n-gram as a term: first 8 hex digits of its md5 modulo dim,
-    and '-' if the next digit is odd."""
-    h = F.md5(gram)
-    bucket = (F.conv(F.substring(h, 1, 8), 16, 10).cast("long") % dim).cast("string")
-    odd = F.conv(F.substring(h, 9, 1), 16, 10).cast("int") % 2 == 1
-    return F.concat(F.when(odd, F.lit("-")).otherwise(F.lit("+")), bucket)
+def gram_slots(grams: list, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, sign) of each n-gram: the first 8 hex digits of its md5 modulo dim, and -1 if
+    the next digit is odd."""
+    h = np.frombuffer(b"".join([hashlib.md5(g, usedforsecurity=False).digest() for g in grams]), dtype=np.uint8).reshape(-1, 16)
+    first = np.ascontiguousarray(h[:, :4]).view(">u4").ravel().astype(np.int64)
+    return first % dim, np.where(h[:, 4] >> 4 & 1, -1.0, 1.0)
+
+
+def hashed_counts(tokens: pa.ListArray, dim: int, lo: int, hi: int) -> np.ndarray:
+    """Signed hashed n-gram counts, a row per list of tokens. Every distinct n-gram of the
+    lists is hashed once."""
+    lens = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy().astype(np.int64)
+    encoded = tokens.flatten().cast(pa.binary()).dictionary_encode()
+    words, code = encoded.dictionary.to_pylist(), encoded.indices.to_numpy().astype(np.int64)
+    row = np.repeat(np.arange(len(lens)), lens)
+    left = np.repeat(np.cumsum(lens), lens) - np.arange(len(code))       # tokens up to the end of the row
+    out = np.zeros(len(lens) * dim)
+    grams, at, level = words, code, np.arange(len(code))                 # n-grams by number, and where they begin
+    for n in range(1, hi + 1):
+        if n > 1:
+            more = left[level] >= n
+            level, at = level[more], at[more]
+            pair, at = np.unique(at * len(words) + code[level + n - 1], return_inverse=True)
+            grams = [grams[p] + b" " + words[w] for p, w in zip(*(x.tolist() for x in np.divmod(pair, max(len(words), 1))))]
+        if n >= lo and len(level):
+            bucket, sign = gram_slots(grams, dim)
+            out += np.bincount(row[level] * dim + bucket[at], weights=sign[at], minlength=len(out))
+    return out.reshape(len(lens), dim)
+
+
+def hashing_vectors(tokens: pa.ListArray, dim: int, lo: int, hi: int) -> pa.ListArray:
+    """L2-normalised hashed counts of lists of tokens, ``SLICE`` tokens or one row at a time."""
+    lens = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy()
+    ends, parts, at = np.cumsum(lens), [np.zeros((0, dim))], 0
+    while at < len(lens):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + SLICE, side="right")))
+        v = hashed_counts(tokens.slice(at, to - at), dim, lo, hi)
+        norm = np.sqrt((v * v).sum(axis=1, keepdims=True))
+        parts.append(v / np.where(norm > 0, norm, 1.0))
+        at = to
+    flat = np.concatenate(parts)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1) * dim, pa.int32()), pa.array(flat.ravel()))
 
 
 def hashing_embed(df: DataFrame, text: str = "text", out: str = "embedding",
                   settings: Settings = DEFAULTS) -> DataFrame:
-    """Signed hashed n-gram counts, L2-normalised (a text without n-grams: zeros)."""
-    dim = settings.embedding_dim
-    g = FE.with_grams(df, text, "_grams", settings)
-    g = g.withColumn("_slots", F.transform(F.coalesce("_grams", F.array().cast("array<string>")),
-                                           lambda x: gram_slot(x, dim)))
-    count = CountVectorizerModel.from_vocabulary([f"{s}{k}" for s in "+-" for k in range(dim)],
-                                                 inputCol="_slots", outputCol="_counts")
-    g = count.transform(g).withColumn("_c", vector_to_array("_counts"))
-    g = g.withColumn("_v", F.zip_with(F.slice("_c", 1, dim), F.slice("_c", dim + 1, dim), lambda a, b: a - b))
-    g = g.withColumn("_norm", F.sqrt(F.aggregate("_v", F.lit(0.0), lambda acc, v: acc + v * v)))
-    # the norm enters as a second array: a lambda that named it would compute it anew
-    # for every element
-    norms = F.array_repeat(F.when(F.col("_norm") > 0, F.col("_norm")).otherwise(1.0), dim)
-    return g.withColumn(out, F.zip_with("_v", norms, lambda v, n: v / n)) \
-            .drop("_grams", "_slots", "_counts", "_c", "_v", "_norm")
+    """Signed hashed n-gram counts, L2-normalised (a text without n-grams: zeros). The
+    encoder is marked as not deterministic, so that no filter over its vector or its
+    elements repeats it."""
+    ship_package(df.sparkSession)
+    dim, (lo, hi) = settings.embedding_dim, settings.ngram_range
+
+    def encode(t: pa.Array) -> pa.Array:
+        return hashing_vectors(t, dim, lo, hi)
+
+    vectors = F.arrow_udf(encode, "array<double>").asNondeterministic()
+    return df.withColumn(out, vectors(tokens(text)))
 
 
 def python_embed(df: DataFrame, encoder_factory: Callable[[], Callable[[list[str]], np.ndarray]],
