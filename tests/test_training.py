@@ -121,3 +121,15 @@ def test_append_history_twice_is_once(spark, tmp_path):
     assert len(list((tmp_path / "h").glob("bucket=*"))) <= 4 and len(list((tmp_path / "h").rglob("*.parquet"))) <= 4
     TB.append_history(hist.limit(0), path)
     assert TB.read_history(spark, path).count() == len(want)
+
+
+def test_fit_partitions_keep_cores_busy_and_even(spark):
+    from annolab.operators.models import fit_partitions
+
+    cores = spark.sparkContext.defaultParallelism
+    few = spark.range(5000).coalesce(1)
+    for work, want in ((0, 1), (2_000_000 * cores, cores), (10 ** 9, -(-10 ** 9 // (cores * 20_000_000)) * cores)):
+        got = fit_partitions(few, work)
+        assert got.rdd.getNumPartitions() == want
+        sizes = got.rdd.glom().map(len).collect() if work else [5000]
+        assert sum(sizes) == 5000 and max(sizes) - min(sizes) <= want
