@@ -124,6 +124,13 @@ def once(shared, build):
     return _built[shared]
 
 
+def forget() -> None:
+    """Give back what ``once`` has built for an operator that ran before in this worker
+    process, and Arrow's unused memory."""
+    _built.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def to_arrow(t: T.DataType) -> pa.DataType:
     if isinstance(t, T.ArrayType):
         return pa.list_(to_arrow(t.elementType))
@@ -176,6 +183,7 @@ def chunk_table(scratch: Scratch, docs: DataFrame, chunk_bytes: int = CHUNK_BYTE
                        F.col("text").cast("string").alias("text"))
 
     def pack(batches):
+        forget()
         part, seq, ids, texts, size = TaskContext.get().partitionId(), 0, [], [], 0
         z = zstandard.ZstdCompressor(level=1)
 
@@ -227,6 +235,7 @@ class Chunk:
 
 def rows_of(batches):
     """Rows of Arrow batches as dicts, one at a time (rows are large)."""
+    forget()
     for batch in batches:
         for i in range(batch.num_rows):
             yield {n: batch.column(j)[i].as_py() for j, n in enumerate(batch.schema.names)}

@@ -42,6 +42,7 @@ KEEP_AT = 0.5
 L2 = 0.3
 ITERATIONS = 80
 ROWS = 1000                # of a block of the fit
+SEEN = 1 << 16            # words that a worker looks up, about 40 MB
 PREFIXES = (4, 5)         # characters of a word's beginning that are features too
 OUTER = bytes(b for b in range(256) if b < 128 and not chr(b).isalnum())
 
@@ -65,7 +66,7 @@ class Features:
             name = core.decode("utf-8", "replace").lower()
             begins = [self.bucket(b"p" + name[:n].encode()) for n in PREFIXES if len(name) > n]
             got = ((self.bucket(b"w" + name.encode()), *begins, self.bucket(b"s" + case + tail[:4])), runs)
-            if len(self.seen) >= 300_000:
+            if len(self.seen) >= SEEN:
                 self.seen.clear()
             self.seen[w] = got
         return got

@@ -309,3 +309,22 @@ def test_smallest_compressed_size_wins():
             want.append(sum(len(c.compress(folded[i:i + langid.PIECE])) for i in range(0, len(folded), langid.PIECE)))
         assert coder.sizes(folded) == want
         assert coder.predict(text)[0] == ("aa" if want[0] <= want[1] else "bb")
+
+
+def test_worker_memory_is_given_back(spark):
+    """Looked up words are bounded, with the same features, and what one operator built in a
+    worker is dropped when another reads chunks there."""
+    texts = [b" ".join(b"w%d" % j for j in range(i, i + 900)) for i in range(0, 90_000, 900)]
+    one, fresh = quality.Features(), quality.Features()
+    for t in texts:
+        got = one.of(t)
+        assert len(one.seen) <= quality.SEEN <= 1 << 16
+        if t in (texts[0], texts[-1]):
+            assert np.array_equal(got, quality.Features().of(t))
+    assert np.array_equal(np.sort(one.of(texts[3])), np.sort(fresh.of(texts[3])))
+
+    class Shared:
+        value = 1
+
+    assert common.once(Shared(), lambda v: [v]) == [1] and common._built
+    assert list(common.rows_of(iter([]))) == [] and not common._built
