@@ -93,8 +93,11 @@ def annotate(df: DataFrame, fields: list[T.StructField], fn, text: str = "text")
     ship(df.sparkSession)
     names = {f.name for f in fields}
     keep = [f.name for f in df.schema.fields if f.name not in names]
+    # a kept string is read where it is: texts cross to the workers once
+    there = text in keep and df.schema[text].dataType == T.StringType()
     base = df.select(*[F.col(f"`{c}`") for c in keep],
-                     F.col(f"`{text}`").cast("string").alias("__text"))
+                     *[] if there else [F.col(f"`{text}`").cast("string").alias("__text")])
+    at_text = keep.index(text) if there else len(keep)
     schema = T.StructType([df.schema[c] for c in keep] + fields)
     types = [to_arrow(f.dataType) for f in fields]
 
@@ -103,9 +106,9 @@ def annotate(df: DataFrame, fields: list[T.StructField], fn, text: str = "text")
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                cols = work(as_bytes(part.column(part.num_columns - 1)))
+                cols = work(as_bytes(part.column(at_text)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(i) for i in range(part.num_columns - 1)]
+                    part.columns[:len(keep)]
                     + [c if isinstance(c, pa.Array) else pa.array(c, t)
                        for c, t in zip(cols, types)], names=schema.names)
 

@@ -241,11 +241,13 @@ def components(s: C.Scratch, edges: DataFrame, name: str) -> DataFrame:
     return labels
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, need: int = NEED) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, need: int = NEED,
+                    chunks: DataFrame | None = None) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept. ``chunks``: the chunk
+    table of docs, if there is one already."""
     matches = matches_for(need)
     s = C.Scratch(docs.sparkSession, "minhash")
-    chunks = C.chunk_table(s, docs)
+    chunks = C.chunk_table(s, docs) if chunks is None else chunks
     signed = s.table(chunks.mapInArrow(lambda b: sign(b, shingle), SIGNATURES), "signatures")
     usable = signed.where("doc_id IS NOT NULL AND n > 0")
     reps = s.table(usable.groupBy("set_key").agg(

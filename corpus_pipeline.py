@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annolab.llm import decontaminate, minhash, pieces, pii, quality
-from annolab.llm.common import Scratch
+from annolab.llm.common import Scratch, chunk_table
 
 #: near duplicates: words of a shingle and per cent of the union. Five words and 80 find
 #: texts that differ by a block; three and 85 short texts that differ by a word, which costs
@@ -32,14 +32,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: columns that operators read and keep or replace; the others they must not touch
+READ = ("doc_id", "text")
+
+
 def _aside(docs: DataFrame) -> DataFrame:
-    """doc_id, text, and every column of docs under a name that no operator uses."""
-    return docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(f"__doc_{i}") for i, c in enumerate(docs.columns)])
+    """doc_id, text, and every other column of docs under a name that no operator uses."""
+    return docs.select(*READ, *[F.col(f"`{c}`").alias(f"__doc_{i}") for i, c in enumerate(docs.columns) if c not in READ])
 
 
 def _back(found: DataFrame, docs: DataFrame, **new) -> DataFrame:
     """The columns of docs, those in ``new`` replaced."""
-    return found.select(*[new.get(c, F.col(f"__doc_{i}")).alias(c) for i, c in enumerate(docs.columns)])
+    return found.select(*[new.get(c, F.col(c if c in READ else f"__doc_{i}")).alias(c)
+                          for i, c in enumerate(docs.columns)])
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,12 +55,16 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A document goes if by any of ``LINKS`` its group holds a smaller id. The list of
-    those that go grows with the input, so the join is a merge at every size."""
-    gone = [minhash.near_duplicates(docs, shingle, need).where(~F.col("kept")).select("doc_id")
+    """A document goes if by any of ``LINKS`` its group holds a smaller id. The texts are
+    packed once for all links. The list of those that go grows with the input, so both
+    sides are dealt out by id; only the list is kept in memory, and no text is sorted."""
+    scratch = Scratch(spark, "near_duplicates")
+    chunks = chunk_table(scratch, docs)
+    gone = [minhash.near_duplicates(docs, shingle, need, chunks).where(~F.col("kept")).select("doc_id")
             for shingle, need in LINKS]
+    scratch.close()
     gone = reduce(DataFrame.unionByName, gone).distinct()
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

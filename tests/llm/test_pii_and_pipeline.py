@@ -196,3 +196,42 @@ def test_columns_of_any_name_pass_through(spark):
         rows = docs.collect()
         assert rows and all(r[n] == f"{n} of {r.doc_id}" for r in rows for n in names)
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == len(rows)
+
+
+def test_texts_cross_to_the_workers_once(spark):
+    docs = spark.createDataFrame([(1, "a b", "en", "web", 3, True)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, keep boolean")
+
+    def sent(df):
+        todo, found = [df._jdf.queryExecution().analyzed()], []
+        while todo:
+            node = todo.pop()
+            below = [node.children().apply(i) for i in range(node.children().size())]
+            if node.nodeName() == "MapInArrow":
+                found.append([a.name() for a in map(below[0].output().apply, range(below[0].output().size()))])
+            todo += below
+        return found
+
+    ((*quality_sent,),) = sent(quality.score(corpus_pipeline._aside(docs), None))
+    assert quality_sent == ["doc_id", "text", "__doc_2", "__doc_3", "__doc_4", "__doc_5"]
+    ((*pieces_sent,),) = sent(pieces.encode(docs.select("doc_id", "text"), pieces.read_model()))
+    assert pieces_sent == ["doc_id", "text"]
+    # a text of another type is read as a string and kept as it is
+    raw = docs.withColumn("text", F.col("text").cast("binary"))
+    assert sent(quality.score(raw, None))[0][-1] == "__text"
+    assert bytes(quality.score(raw, None).first().text) == b"a b"
+
+
+def test_near_duplicates_pack_texts_once_and_sort_none(spark, monkeypatch):
+    packed, pack = [], corpus_pipeline.chunk_table
+    counted = lambda *a: packed.append(1) or pack(*a)
+    monkeypatch.setattr(corpus_pipeline, "chunk_table", counted)
+    monkeypatch.setattr(minhash.C, "chunk_table", counted)
+    long = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(3, long), (1, long), (2, "other words here"), (None, long), (4, None), (3, long)],
+                                 "doc_id long, text string")
+    found = corpus_pipeline.near_duplicate_stage(spark, docs, "")
+    assert sorted((x.doc_id is None, x.doc_id or 0) for x in found.collect()) == [(False, 1), (False, 2), (False, 4), (True, 0)]
+    assert len(packed) == 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort [" not in plan
