@@ -133,3 +133,15 @@ def test_fit_partitions_keep_cores_busy_and_even(spark):
         assert got.rdd.getNumPartitions() == want
         sizes = got.rdd.glom().map(len).collect() if work else [5000]
         assert sum(sizes) == 5000 and max(sizes) - min(sizes) <= want
+
+
+def test_rounds_write_no_tables(spark, rows, monkeypatch):
+    """What a round of an ordinal network leaves does not grow with the rounds."""
+    from annolab.operators import models as MD
+
+    names = []
+    for module in (MD, NN, TR):
+        monkeypatch.setattr(module, "materialize", lambda df, name="table", was=TR.materialize: names.append(name) or was(df, name))
+    runs = [TR.fit_validated(rows, settings=Settings(hidden_dims=(6,), num_classes=3, epochs=n, early_stopping_patience=9),
+                             ordinal=True, iterations=2) for n in (1, 3)]
+    assert [len(r.curves) for r in runs] == [1, 3] and len(names) % 2 == 0 and names[:len(names) // 2] == names[len(names) // 2:]
